@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliate.llm import tokens
+from foliate.llm import tokens, unify
 from foliate.tables import table
 
 
+def p6_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Irregular lines of both text columns with their consistent form."""
+    bodies = unify.irregular_lines(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md")
+    sources = unify.irregular_lines(table(spark, d, "coverage_record", "rec_id", "source_text"), "source_text", "rec_id", "source_text")
+    return bodies.unionByName(sources).distinct()
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_lines(spark, d).select("field", "rec_key", "line_no").distinct()
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", tokens.vocabulary_path(spark))
 
 
-QUERIES = {"p7_ids": p7_ids}
+QUERIES = {"p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
 
 SQL: dict[str, str] = {}
