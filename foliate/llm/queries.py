@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliate.llm import tokens, unify
+from foliate.llm import split, tokens, unify
 from foliate.tables import table
 
 
+def p3_pieces(spark: SparkSession, d: str, with_text: bool = True) -> DataFrame:
+    """The pieces of every oversized section."""
+    structure = table(spark, d, "structure", "structure_id", "doc_id", "markdown_sha256", "outline")
+    return split.split_sections(structure, table(spark, d, "document_md", "doc_id", "body_md"), with_text=with_text)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The sections that were split: each has a first piece."""
+    return p3_pieces(spark, d, with_text=False).where("piece_no = 1").select("structure_id", "node_path")
+
+
 def p6_lines(spark: SparkSession, d: str) -> DataFrame:
     """Irregular lines of both text columns with their consistent form."""
     bodies = unify.irregular_lines(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md")
@@ -23,6 +34,6 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", tokens.vocabulary_path(spark))
 
 
-QUERIES = {"p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
+QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
 
 SQL: dict[str, str] = {}
