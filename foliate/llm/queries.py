@@ -3,11 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foliate.llm import split, tokens, unify
+from foliate.llm import neardup, split, tokens, unify
 from foliate.tables import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    bodies = neardup.near_duplicates(table(spark, d, "document_md", "doc_id", "body_md"), "doc_id", "body_md", k=3, threshold=0.6)
+    paths = table(spark, d, "manifest", "doc_id", "source_relpath").distinct()
+    paths = neardup.near_duplicates(paths, "doc_id", "source_relpath", k=1, threshold=0.5, bands=neardup.PATH_BANDS)
+    return bodies.select(F.lit("body_md").alias("field"), "doc_a", "doc_b").unionByName(paths.select(F.lit("source_relpath").alias("field"), "doc_a", "doc_b"))
+
+
+def p2_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The group of near-copies that each document belongs to, by its body."""
+    return neardup.duplicate_groups(table(spark, d, "document_md", "doc_id", "body_md"), "doc_id", "body_md", k=3, threshold=0.6)
+
+
 def p3_pieces(spark: SparkSession, d: str, with_text: bool = True) -> DataFrame:
     """The pieces of every oversized section."""
     structure = table(spark, d, "structure", "structure_id", "doc_id", "markdown_sha256", "outline")
@@ -34,6 +47,6 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", tokens.vocabulary_path(spark))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
 
 SQL: dict[str, str] = {}
