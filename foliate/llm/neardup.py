@@ -142,7 +142,8 @@ def signature_table(df: DataFrame, id_col: str, text_col: str, k: int, bands: in
 
 def candidate_classes(table: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of classes that share a band."""
-    buckets = table.select("set_key", F.explode("bands").alias("bucket")).distinct()
+    classes = table.select("set_key", "bands").dropDuplicates(["set_key"])  # before the bands are spread out
+    buckets = classes.select("set_key", F.explode("bands").alias("bucket"))
     left, right = buckets.withColumnRenamed("set_key", "a"), buckets.withColumnRenamed("set_key", "b")
     return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
 
