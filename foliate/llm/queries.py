@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import neardup, split, tokens, unify
+from foliate.llm import neardup, pii, split, tokens, unify
 from foliate.tables import table
 
 
@@ -47,6 +47,16 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", tokens.vocabulary_path(spark))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    given = pii.listed_names(table(spark, d, "given_names"))
+    return pii.find_items(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", given).select("doc_id", "kind", "start_pos")
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    given = pii.listed_names(table(spark, d, "given_names"))
+    return pii.redact_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", given)
+
+
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL: dict[str, str] = {}
