@@ -66,6 +66,7 @@ _surname = re.compile(f" (?:{_INITIALS})?({_SUR})(?![\\w'’])")
 _before_given = re.compile(f"(?<![\\w-])({_SUR}), $")
 _mail_head = re.compile(f"(?<![\\w-])({NAME})[ \t]*$")
 _head = re.compile(r"[.!?;:] +")
+_capital = re.compile(f"(?<![\\w'’\\-])[{_U}]")
 
 _local = re.compile(r"(?<![\w.%+\-])[\w.%+\-]*\w[ ]?$")
 _domain = re.compile(r" ?(\w(?:[\w\-]*\w)?(?:\.\w(?:[\w\-]*\w)?)*\.[^\W\d_]{2,24})(?![\w\-])")
@@ -251,13 +252,13 @@ _field = re.compile(f"(?m)^[^,\t\n]*[,\t]-?[\\d.]+[,\t][^,\t\n]*[,\t]({NAME})[ \
 
 
 def _sentence_head(text: str, begin: int, end: int) -> tuple[int, int] | None:
-    """The name that ends at `end` and begins a line or what follows a punctuation mark."""
-    for m in _head.finditer(text, begin, end):
-        n = _name.match(text, m.end())
+    """The name that ends at `end`: what begins the line or follows a punctuation mark, else the longest."""
+    starts = [m.end() for m in _head.finditer(text, begin, end)] + [begin] + [m.start() for m in _capital.finditer(text, begin, end)]
+    for start in starts:
+        n = _name.match(text, start)
         if n and n.end() == end:
             return n.span()
-    n = _name.match(text, begin)
-    return n.span() if n and n.end() == end else None
+    return None
 
 
 def _identity(text: str, m: re.Match, names: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
