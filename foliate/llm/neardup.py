@@ -10,12 +10,14 @@ Words are the runs of letters and digits of the lower-case text; a record is the
   pair is missed with probability (1 - s^4)^bands: below 0.002 at 0.6 with 48 bands. Sets of a few elements (file
   paths) take the minimum and the maximum without replacement, which lowers s^4 a little; they get more bands.
 * *Exact copies first.* Records with equal sets form a class under one 64-bit key, and only classes are banded, joined
-  and checked; so a class that holds a third of all rows is one row in every bucket. Membership is joined back at the
-  end.
-* *Exact check.* The similarity of candidate classes is computed from the whole sets.
+  and checked; so a class that holds a third of all rows is one row in every bucket. A task hands on the bands of a class
+  once, however many of its rows it sees. Membership is joined back at the end.
+* *Check.* Small sets travel with their candidates and are compared exactly. For larger ones a byte of each signature
+  value travels; it decides where the estimate lies more than four standard deviations from the threshold. The pairs in
+  between are compared exactly: the sets of their records, and of no others, are made again from the whole texts.
 
-The signature table is written once to the shared folder; buckets, sets and membership are read from it, each with the
-columns it needs. Joins are by bucket key and class key; there is no cap on buckets or partners.
+The signature table is written once to the shared folder; buckets, checks and membership are read from it, each with
+the columns it needs. Joins are by bucket key and class key; there is no cap on buckets or partners.
 
 Defined results: null ids or texts, and texts with fewer than k words, are in no pair; repeated rows count once; an id
 with several texts takes part with each; texts of any length count whole; ties don't arise, a pair of ids comes once.
@@ -36,6 +38,8 @@ from foliate.llm.lines import slices
 from foliate.session import written
 
 BODY_BANDS, PATH_BANDS = 48, 80
+SMALL = 48  # elements of a set that travels whole
+SEEN = 1 << 18  # class keys a task remembers
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # multipliers of a public 64-bit mixer
 
 
@@ -90,8 +94,8 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return key.astype(np.uint32), np.bincount((key >> np.uint64(32)).astype(np.int64), minlength=len(texts))
 
 
-def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> np.ndarray:
-    """The band keys of every non-empty set: per band a hash of the minima and maxima of two permutations."""
+def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of every non-empty set (per band a hash of the minima and maxima of two permutations), and a byte of each of these values."""
     flip, factor = _permutations(2 * bands)
     begins = np.cumsum(counts) - counts
     low = np.empty((2 * bands, len(counts)), np.uint32)
@@ -107,13 +111,30 @@ def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> np.ndarr
         i = j
     a = (low.astype(np.uint64) << np.uint64(32)) | high
     key = mix(mix(a[0::2] + np.arange(bands, dtype=np.uint64)[:, None] * _M1) * np.uint64(3) + a[1::2])
-    return key.T.view(np.int64)
+    sketch = (np.concatenate([low, high]) * np.uint32(2654435761)) >> np.uint32(24)
+    return key.T.view(np.int64), np.ascontiguousarray(sketch.T.astype(np.uint8))
+
+
+def set_keys(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A 64-bit key of every non-empty set, whatever the order of its elements."""
+    begins = np.cumsum(counts) - counts
+    return (np.add.reduceat(mix(elements.astype(np.uint64) + np.uint64(1)), begins) ^ counts.astype(np.uint64)).view(np.int64)
+
+
+def _lists(values: np.ndarray, ends: np.ndarray, there: np.ndarray) -> pa.ListArray:
+    """Lists of 32- or 64-bit values; null where not `there` (these must have no values)."""
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), mask=np.append(~there, False)), pa.array(values))
 
 
 def signature_table(df: DataFrame, id_col: str, text_col: str, k: int, bands: int) -> DataFrame:
-    """(id, set_key, bands, elements) of every row with a non-empty set."""
+    """(id, set_key, bands, small, sketch) of every row with a non-empty set.
+
+    small is the set itself where it has up to SMALL elements, else sketch is a byte of each signature value. In the
+    rows of a class that a task has seen before, these and the bands are null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
                 elements, counts = shingle_sets(batch.column(1).to_pylist(), k)
@@ -121,43 +142,92 @@ def signature_table(df: DataFrame, id_col: str, text_col: str, k: int, bands: in
                 if not len(there):
                     continue
                 counts = counts[there]
-                begins = np.cumsum(counts) - counts
-                keys = np.add.reduceat(mix(elements.astype(np.uint64) + np.uint64(1)), begins) ^ counts.astype(np.uint64)
-                band = np.ascontiguousarray(signatures(elements, counts, bands)).ravel()
+                keys = set_keys(elements, counts)
+                _, first = np.unique(keys, return_index=True)
+                fresh = np.zeros(len(keys), bool)
+                fresh[first] = True
+                fresh &= np.fromiter((x not in seen for x in keys.tolist()), bool, len(keys))
+                if len(seen) > SEEN:
+                    seen.clear()  # what is handed on twice is joined to one class later
+                seen.update(keys[fresh].tolist())
+                band, sketch = signatures(elements, counts, bands)
+                small = fresh & (counts <= SMALL)
+                large = fresh & ~small
+                inside = np.repeat(small, counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(there)),
-                        pa.array(keys.view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(there) + 1, dtype=np.int32) * bands), pa.array(band)),
-                        pa.ListArray.from_arrays(pa.array(np.append(begins, counts.sum()).astype(np.int32)), pa.array(elements.view(np.int32))),
+                        pa.array(keys),
+                        _lists(np.ascontiguousarray(band[fresh]).ravel(), np.append(0, np.cumsum(fresh * bands)), fresh),
+                        _lists(elements[inside].view(np.int32), np.append(0, np.cumsum(small * counts)), small),
+                        pa.array([row.tobytes() if use else None for row, use in zip(sketch, large)], pa.binary()),
                     ],
-                    ["id", "set_key", "bands", "elements"],
+                    ["id", "set_key", "bands", "small", "sketch"],
                 )
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
-    kind = rows.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("set_key", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("elements", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(run, schema)
+    fields = [("id", rows.schema["id"].dataType), ("set_key", T.LongType()), ("bands", T.ArrayType(T.LongType())), ("small", T.ArrayType(T.IntegerType())), ("sketch", T.BinaryType())]
+    return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
 def candidate_classes(table: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of classes that share a band."""
-    classes = table.select("set_key", "bands").dropDuplicates(["set_key"])  # before the bands are spread out
-    buckets = classes.select("set_key", F.explode("bands").alias("bucket"))
+    """Pairs (a, b), a < b, of classes that share a band. One exchange by bucket serves both the joining of repeated classes and the join."""
+    buckets = table.where("bands is not null").select("set_key", F.explode("bands").alias("bucket"))
+    buckets = buckets.repartition("bucket").dropDuplicates(["bucket", "set_key"])
     left, right = buckets.withColumnRenamed("set_key", "a"), buckets.withColumnRenamed("set_key", "b")
     return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
 
 
-def similar_classes(table: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b, similarity) of classes whose sets have a Jaccard similarity of at least the threshold."""
-    pairs = written(candidate_classes(table), "neardup-pairs")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    sets = table.select("set_key", "elements").join(used, "set_key", "left_semi").dropDuplicates(["set_key"])
-    a, b = sets.toDF("a", "ea"), sets.toDF("b", "eb")
-    both = pairs.join(a, "a").join(b, "b")
-    shared = F.size(F.array_intersect("ea", "eb"))
-    out = both.select("a", "b", (shared / (F.size("ea") + F.size("eb") - shared)).alias("similarity"))
-    return out.where(F.col("similarity") >= threshold)
+def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (4, 5))
+        same = (x == y).mean(1)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array((same - 1 / 256) / (1 - 1 / 256))], ["a", "b", "x", "y", "similarity"])
+
+
+def similar_classes(table: DataFrame, threshold: float, df: DataFrame, id_col: str, text_col: str, k: int, bands: int) -> DataFrame:
+    """Pairs (a, b) of classes whose sets have a Jaccard similarity of at least the threshold."""
+    margin = 4 * (threshold * (1 - threshold) / (4 * bands)) ** 0.5
+    classes = table.where("bands is not null").select("set_key", "id", "small", "sketch").dropDuplicates(["set_key"])
+    a, b = classes.toDF("a", "x", "sa", "ka"), classes.toDF("b", "y", "sb", "kb")
+    pairs = written(candidate_classes(table).join(a, "a").join(b, "b"), "neardup-pairs")
+
+    def exact(p: DataFrame, left: str, right: str) -> DataFrame:
+        shared = F.size(F.array_intersect(left, right))
+        return p.where(shared / (F.size(left) + F.size(right) - shared) >= threshold).select("a", "b")
+
+    small = exact(pairs.where("sa is not null and sb is not null"), "sa", "sb")
+    kind = df.schema[id_col].dataType.simpleString()
+    large = pairs.where("ka is not null and kb is not null").select("a", "b", "x", "y", "ka", "kb")
+    large = large.mapInArrow(_estimates, f"a bigint, b bigint, x {kind}, y {kind}, similarity double").where(F.col("similarity") >= threshold - margin)
+    mixed = pairs.where("(sa is null) != (sb is null)").select("a", "b", "x", "y", F.lit(threshold).alias("similarity"))
+    large = written(large.unionByName(mixed), "neardup-estimates")
+    sure = large.where(F.col("similarity") > threshold + margin).select("a", "b")
+    open_ = large.where(F.col("similarity") <= threshold + margin)
+    used = open_.select(F.explode(F.array("x", "y")).alias(id_col)).distinct()
+    sets = element_table(df.join(used, id_col, "left_semi"), id_col, text_col, k)
+    sets = sets.dropDuplicates(["id", "set_key"])
+    left = sets.toDF("x", "a", "ea")
+    right = sets.toDF("y", "b", "eb")
+    checked = exact(open_.join(left, ["x", "a"]).join(right, ["y", "b"]), "ea", "eb")
+    return small.unionByName(sure).unionByName(checked)
+
+
+def element_table(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, set_key, elements): the whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 1, 4 << 20):
+                elements, counts = shingle_sets(batch.column(1).to_pylist(), k)
+                there = np.flatnonzero(counts)
+                if len(there):
+                    n = counts[there]
+                    lists = _lists(elements.view(np.int32), np.append(0, np.cumsum(n)), np.ones(len(n), bool))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(there)), pa.array(set_keys(elements, n)), lists], ["id", "set_key", "elements"])
+
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, set_key bigint, elements array<int>")
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, k: int = 5, threshold: float = 0.8, bands: int = BODY_BANDS) -> DataFrame:
@@ -165,7 +235,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, k: int = 5, thres
     table = written(signature_table(df, id_col, text_col, k, bands), "neardup-signatures")
     members = table.select("set_key", "id").distinct()
     a, b = members.toDF("a", "x"), members.toDF("b", "y")
-    apart = similar_classes(table, threshold).select("a", "b").join(a, "a").join(b, "b").select("x", "y")
+    apart = similar_classes(table, threshold, df, id_col, text_col, k, bands).join(a, "a").join(b, "b").select("x", "y")
     copies = members.toDF("a", "x").join(members.toDF("a", "y"), "a").where("x < y").select("x", "y")
     pairs = apart.where("x != y").unionByName(copies)
     return pairs.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b")).distinct()
@@ -180,7 +250,7 @@ def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, thre
     """
     table = written(signature_table(df, id_col, text_col, k, bands), "neardup-signatures")
     members = table.select("set_key", F.col("id").alias(id_col)).distinct()
-    links = similar_classes(table, threshold).select("a", "b")
+    links = similar_classes(table, threshold, df, id_col, text_col, k, bands)
     links = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "neardup-links")
     labels = written(links.select(F.col("a").alias("v")).distinct().select("v", F.col("v").alias("label")), "neardup-labels")
     while True:

@@ -51,6 +51,10 @@ def test_sets(texts, k):
     assert all(len(v) == 1 for v in keys.values()) and len({next(iter(v)) for v in keys.values()}) == len(keys)
 
 
+def j_of(shared, own):
+    return shared / (shared + 2 * own)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     bands = 400
@@ -62,7 +66,8 @@ def test_signatures_are_unbiased():
         same = np.concatenate([x.min(1) == y.min(1), x.max(1) == y.max(1)]).mean()
         assert abs(same - shared / (shared + 2 * own)) < 0.06
         both = np.concatenate([np.sort(a), np.sort(b)])
-        keys = neardup.signatures(both, np.array([len(a), len(b)]), bands)
+        keys, sketch = neardup.signatures(both, np.array([len(a), len(b)]), bands)
+        assert abs((sketch[0] == sketch[1]).mean() - j_of(shared, own)) < 0.07
         j = shared / (shared + 2 * own)
         assert abs((keys[0] == keys[1]).mean() - j**4) < 0.08
 
