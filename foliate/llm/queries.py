@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import neardup, pii, split, tokens, unify
+from foliate.llm import mixing, neardup, pii, split, tokens, unify
 from foliate.tables import table
 
 
@@ -47,6 +47,23 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", tokens.vocabulary_path(spark))
 
 
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents", "doc_id", "source", "text")
+    return mixing.token_counts(documents, "doc_id", "source", "text", tokens.vocabulary_path(spark))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mixture with their number of copies."""
+    mixed = mixing.mixture(_counts(spark, d), table(spark, d, "mix_targets"))
+    return mixed.withColumnRenamed("doc_key", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares of the sources."""
+    counts, targets = _counts(spark, d), table(spark, d, "mix_targets")
+    return mixing.shares(counts, targets, mixing.mixture(counts, targets))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     given = pii.listed_names(table(spark, d, "given_names"))
     return pii.find_items(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", given).select("doc_id", "kind", "start_pos")
@@ -57,6 +74,6 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", given)
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p9_found": p9_found, "p9_redacted": p9_redacted}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL: dict[str, str] = {}
