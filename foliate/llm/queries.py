@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import mixing, neardup, pii, split, tokens, unify
+from foliate.llm import mixing, neardup, pii, scans, split, tokens, unify
 from foliate.tables import table
 
 
@@ -32,6 +32,28 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_pieces(spark, d, with_text=False).where("piece_no = 1").select("structure_id", "node_path")
 
 
+def _scan_terms(spark: SparkSession, d: str) -> scans.Shipped:
+    bodies = table(spark, d, "document_md", "body_md").withColumnRenamed("body_md", "t")
+    sources = table(spark, d, "coverage_record", "source_text").withColumnRenamed("source_text", "t")
+    return scans.Shipped(spark, scans.frequent_terms(bodies.unionByName(sources)))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    terms = _scan_terms(spark, d)
+    bodies = scans.scan_cases(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md", terms)
+    sources = scans.scan_cases(table(spark, d, "coverage_record", "rec_id", "source_text"), "source_text", "rec_id", "source_text", terms)
+    return bodies.unionByName(sources).distinct()
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Both text columns as continuous paragraphs."""
+    terms = _scan_terms(spark, d)
+    bodies = scans.repaired_column(table(spark, d, "document_md", "doc_id", "body_md"), "doc_id", "body_md", terms)
+    sources = scans.repaired_column(table(spark, d, "coverage_record", "rec_id", "source_text"), "rec_id", "source_text", terms)
+    named = [df.select(F.lit(field).alias("field"), F.col(key).cast("string").alias("rec_key"), "repaired") for df, field, key in ((bodies, "body_md", "doc_id"), (sources, "source_text", "rec_id"))]
+    return named[0].unionByName(named[1]).distinct()
+
+
 def p6_lines(spark: SparkSession, d: str) -> DataFrame:
     """Irregular lines of both text columns with their consistent form."""
     bodies = unify.irregular_lines(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md")
@@ -74,6 +96,6 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact_column(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", given)
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL: dict[str, str] = {}
