@@ -71,7 +71,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             terms = [*words, *(f"{a} {b}" for a, b in pairs)]
-            batch = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64()), pa.array([False] * len(words) + [True] * len(pairs))], ["term", "n", "pair"])
+            batch = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([*words.values(), *pairs.values()], pa.int64()), pa.array([False] * len(words) + [True] * len(pairs), pa.bool_())], ["term", "n", "pair"])
             words.clear()
             pairs.clear()
             return batch
