@@ -153,7 +153,7 @@ def recall_with_exclude(spark: SparkSession, d: str) -> DataFrame:
     return recall.coverage(source, target, exclude)
 
 
-@query(f"with {BAGS} select key, token, n, rank from (select key, token, cast(src - least(src, tgt) as bigint) as n, row_number() over (partition by key order by src - least(src, tgt) desc, token) as rank from j where src > tgt) where rank <= 12")
+@query(f"with {BAGS} select key, token, n, rank from (select key, token, cast(src - least(src, tgt) as bigint) as n, row_number() over (partition by key order by src - least(src, tgt) desc, token)::integer as rank from j where src > tgt) where rank <= 12")
 def missing_top(spark: SparkSession, d: str) -> DataFrame:
     return recall.top_missing(recall.bags(*_sides(spark, d)))
 
