@@ -195,9 +195,8 @@ def escape_markdown(text: Column | str) -> Column:
 
 def escape_lead(text: Column | str) -> Column:
     """A line start that would make a quote, a list or a heading is escaped."""
-    c = F.regexp_replace(F.coalesce(col(text), F.lit("")), r"^(\s*)(>)", r"$1\\$2")
-    c = F.regexp_replace(c, r"^(\s*\d+)([.)])(?=\s)", r"$1\\$2")
-    return F.regexp_replace(c, r"^(\s*)([#+\-*]+)(?=\s)", r"$1\\$2")
+    c = F.regexp_replace(F.coalesce(col(text), F.lit("")), r"^(>|[#+*\-](?=\s))", r"\\$1")
+    return F.regexp_replace(c, r"^(\d+)([.)])(?=\s)", r"$1\\$2")
 
 
 def table_cell(text: Column | str) -> Column:
