@@ -1,0 +1,188 @@
+"""Bundles: each document's Markdown with its structure and report, and the manifest of a run.
+
+A run is one plan: files are routed, each lane converts its own where they lie, the union is measured and graded, and
+the sink writes a folder per document from the executors. The report is written last and every file by renaming, so a
+retried task leaves a whole bundle; the manifest is a table.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import os
+from collections.abc import Iterator
+from pathlib import Path
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from foliate.functions import text as fn
+from foliate.functions.markdown import to_text
+from foliate.operators import figures, outline, recall, validation
+from foliate.sources import files, html, office
+
+CONVERTER = "foliate/0.1.0"
+
+
+def convert(tree: DataFrame) -> DataFrame:
+    """(…, markdown, source_text, repr_chars, properties, error) of every accepted file of a scanned tree; the content goes no further, but pictures of office files are listed by `pictures`."""
+    keep = ["rel", "doc_id", "ext", "lane"]
+    sha = F.sha2("content", 256).alias("source_sha256")
+    office_rows = tree.where("lane = 'ooxml'").select(*keep, sha, office.convert_office("content", "ext").alias("c")).select(*keep, "source_sha256", "c.*")
+    none = F.create_map().cast("map<string,string>").alias("properties")
+    plain = tree.where("lane in ('passthrough', 'fence')").select(*keep, sha, files.decode_text("content").alias("t"))
+    fenced = F.when(F.col("lane") == "fence", fn.fence("t", F.col("ext"))).otherwise(F.col("t"))
+    text_rows = plain.select(*keep, "source_sha256", fenced.alias("markdown"), F.col("t").alias("source_text"), F.lit(0).cast("long").alias("repr_chars"), none, F.lit("").alias("error"))
+    pages = tree.where("lane = 'docling' and ext in ('html', 'htm')").select(*keep, sha, files.decode_text("content").alias("t"))
+    page_rows = pages.select(*keep, "source_sha256", html.html_markdown("t").alias("markdown"), fn.visible_text("t").alias("source_text"), F.lit(0).cast("long").alias("repr_chars"), none, F.lit("").alias("error"))
+    plugged = dict(html.LAYOUT)
+
+    @F.pandas_udf(office.CONVERTED)
+    def layout(content: pd.Series, ext: pd.Series) -> pd.DataFrame:
+        rows = []
+        for c, e in zip(content, ext):
+            blank = {"markdown": "", "source_text": "", "repr_chars": 0, "properties": {}, "error": ""}
+            if e not in plugged:
+                rows.append(blank | {"error": "libreoffice-unavailable" if e != "pdf" else "converter-unavailable"})
+                continue
+            try:
+                rows.append(blank | plugged[e](bytes(c)))
+            except Exception as problem:  # a document's failure is its own
+                rows.append(blank | {"error": f"conversion-failed:{type(problem).__name__}"})
+        return pd.DataFrame(rows, columns=[f.name for f in office.CONVERTED])
+
+    other = tree.where("lane = 'libreoffice' or ext = 'pdf'").select(*keep, sha, layout("content", "ext").alias("c")).select(*keep, "source_sha256", "c.*")
+    return office_rows.unionByName(text_rows).unionByName(page_rows).unionByName(other)
+
+
+def grade(source_text: str, body: str, lane: str, error: str) -> dict:
+    """Losslessness, structural counts and status of one conversion."""
+    prose = to_text(body)
+    target = body if lane == "fence" else prose
+    measured = source_text if lane != "passthrough" else to_text(source_text)
+    found = validation.issues(body)
+    errors = sum(i[2] == "error" for i in found)
+    have, got = recall.explain(measured, target)[0][:2]
+    token_recall = 1.0 if have == 0 else got / have
+    alnum = lambda t: "".join(c for c in t.lower() if c.isalnum())
+    content = recall.gram_recall(alnum(measured), alnum(target))
+    if lane in ("passthrough", "fence") and token_recall == 1.0:
+        errors = 0  # of the author's own text, structure is advice
+    if lane == "ooxml":
+        foreign = sum(not c.isascii() for c in alnum(measured))
+        gate = "pass" if token_recall == 1.0 and errors == 0 and (foreign < 3 or content >= 0.95) else "fail"
+    else:
+        gate = "pass" if lane in ("passthrough", "fence") and token_recall == 1.0 else "best-effort"
+    failed = gate == "fail" or errors or (error and error != "empty-source-file")
+    return {"token_recall": round(token_recall, 6), "content_recall": round(content, 6), "gate": gate, "errors": errors, "warnings": len(found) - errors, "status": "failed" if failed else "degraded" if len(found) > errors else "ok", "method": "ooxml-ground-truth" if lane == "ooxml" else "text" if lane in ("passthrough", "fence") else "text-coverage"}
+
+
+def nest(nodes: list[dict]) -> list[dict]:
+    """Flat nodes as trees, for JSON."""
+    made: list[dict] = []
+    top: list[dict] = []
+    for n in nodes:
+        images = [i | {"caption": None} for i in n["images"]]
+        made.append({"id": n["id"], "level": n["level"], "title": n["title"], "anchor": n["anchor"], "line_span": [n["line_start"], n["line_end"]], "self_tokens": n["self_tokens"], "subtree_tokens": n["subtree_tokens"], "tables": n["tables"], "images": images, "links": n["links"], "children": []})
+        (top if n["parent"] < 0 else made[n["parent"]]["children"]).append(made[-1])
+    return top
+
+
+def assemble(row: dict, run: str = "") -> dict[str, str]:
+    """file name -> content of one document's bundle; only a report where the conversion failed."""
+    body = row["markdown"] or ""
+    g = grade(row["source_text"] or "", body, row["lane"], row["error"] or "")
+    sha = hashlib.sha256(body.encode()).hexdigest()
+    nodes = outline.outline(body)
+    lines = body.split("\n")
+    covered = {i for n in nodes for i in range(n["line_start"], n["line_end"])}
+    written = [i for i, line in enumerate(lines) if line.strip()]
+    lost = [i for i in written if i not in covered and not outline.is_toc(lines[i].strip())]
+    status = "degraded" if g["status"] == "ok" and lost else g["status"]
+    report = {
+        "doc_id": row["doc_id"], "lane": row["lane"], "source_format": row["ext"], "converter": CONVERTER, **({"generated_run": run} if run else {}), "source_relpath": row["rel"], "source_sha256": row["source_sha256"] or "", "markdown_sha256": sha, "status": status,
+        "losslessness": {"method": g["method"], "token_recall": g["token_recall"], "content_recall": g["content_recall"], "gate": g["gate"]}, "token_model": "char-estimate/4",
+        "structure": {"max_depth": max((n["level"] for n in nodes), default=0), "largest_section_tokens": max((n["subtree_tokens"] for n in nodes), default=0), "has_toc": outline.content_start(lines) > 0, "uncovered_lines": len(lost)},
+        "structural_errors": g["errors"], "structural_warnings": g["warnings"], "warnings": [{"code": "outline_uncovered_content", "detail": f"{len(lost)} lines"}] if lost else [], "error": row["error"] or "",
+    }
+    out = {}
+    if status != "failed":
+        structure = {"doc_id": row["doc_id"], "source_format": row["ext"], "lane": row["lane"], "markdown_sha256": sha, "token_model": "char-estimate/4", "total_tokens": sum((len(x) + 3) // 4 for x in lines), "has_toc": report["structure"]["has_toc"], "outline": nest(nodes)}
+        head = {"doc_id": row["doc_id"], "source_format": row["ext"], "lane": row["lane"], "source_relpath": row["rel"], **({"source_sha256": row["source_sha256"]} if row["source_sha256"] else {}), "markdown_sha256": sha, "converter": CONVERTER, "lossless": "true" if g["gate"] == "pass" else "false", "structure": "structure.json", "report": "report.json", "images": "images/"}
+        head |= ({"generated_run": run} if run else {}) | {f"source_{k}": v for k, v in (row["properties"] or {}).items()}
+        out["structure.json"] = json.dumps(structure, ensure_ascii=False, indent=2) + "\n"
+        quoted = lambda v: '"' + str(v).replace("\\", "\\\\").replace('"', '\\"').replace("\r\n", "\\n").replace("\n", "\\n").replace("\r", "\\n").replace("\t", "\\t") + '"'
+        out["document.md"] = "---\n" + "\n".join(f"{k}: {quoted(v)}" for k, v in head.items()) + "\n---\n\n" + body
+    out["report.json"] = json.dumps(report, ensure_ascii=False, indent=2) + "\n"  # last: its presence says the bundle is whole
+    return out
+
+
+def put(path: Path, content: bytes) -> None:
+    """Write a file by renaming."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    temporary = path.with_name(f".{path.name}.{os.getpid()}")
+    temporary.write_bytes(content)
+    os.replace(temporary, path)
+
+
+MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("doc_id", "source_relpath", "lane", "status", "markdown_sha256", "error")])
+
+
+def write_bundles(converted: DataFrame, out: str, run: str = "") -> DataFrame:
+    """Writes the bundles below `out` (a folder all executors share) from the executors; returns the manifest's rows."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            rows = []
+            for row in frame.to_dict("records"):
+                row["properties"] = dict(row["properties"]) if row["properties"] is not None else {}
+                made = assemble(row, run)
+                folder = Path(out) / row["doc_id"]
+                for name, content in made.items():
+                    put(folder / name, content.encode())
+                report = json.loads(made["report.json"])
+                rows.append((row["doc_id"], row["rel"], row["lane"], report["status"], report["markdown_sha256"] if "document.md" in made else "", report["error"]))
+            yield pd.DataFrame(rows, columns=MANIFEST.names)
+
+    return converted.mapInPandas(task, MANIFEST)
+
+
+def done(spark: SparkSession, manifest: str) -> DataFrame:
+    """Ids of documents whose last manifest row is ok or degraded."""
+    from foliate.operators.dataflow import last_wins
+
+    log = spark.read.parquet(manifest).withColumn("n", F.monotonically_increasing_id())
+    return last_wins(log, "doc_id", ["appended_at", "n"]).where("status in ('ok', 'degraded')").select("doc_id")
+
+
+def run_tree(spark: SparkSession, root: str, out: str, accept: str | None = None, run: str = "", force: bool = False) -> DataFrame:
+    """Converts what is new below root into bundles and appends the manifest; returns this run's rows."""
+    manifest = f"{out.rstrip('/')}/manifest.parquet"
+    tree = files.scan_tree(spark, root, accept).where("accepted")
+    if not force and Path(manifest).exists():
+        tree = tree.join(done(spark, manifest), "doc_id", "left_anti")
+    rows = write_bundles(convert(tree), out, run).withColumn("appended_at", F.current_timestamp())
+    before = spark.read.parquet(manifest).count() if Path(manifest).exists() else 0
+    rows.write.mode("append").parquet(manifest)
+    return spark.read.parquet(manifest) if not before else spark.read.parquet(manifest).where(F.col("appended_at") == spark.read.parquet(manifest).agg(F.max("appended_at")).collect()[0][0])
+
+
+def picture_assets(tree: DataFrame) -> DataFrame:
+    """(doc_id, part, file, bytes, format, width, height) of the media of office files: a file's name is the hash of its bytes."""
+    media = office.package_entries(tree.where("lane = 'ooxml'"), office.MEDIA.pattern)
+    ext = F.lower(F.regexp_extract("part", r"\.([A-Za-z0-9]+)$", 1))
+    size = figures.image_size("bytes")
+    return media.select("doc_id", "part", F.concat(F.substring(F.sha2("bytes", 256), 1, 16), F.lit("."), ext).alias("file"), "bytes", figures.sniff("bytes").alias("format"), size.alias("s")).select("doc_id", "part", "file", "bytes", "format", "s.*")
+
+
+def verify_assets(assets: DataFrame) -> DataFrame:
+    """(file, intact): whether a stored picture's bytes give its name."""
+    return assets.select("file", (F.substring(F.sha2("bytes", 256), 1, 16) == F.substring_index("file", ".", 1)).alias("intact"))
+
+
+def carry_captions(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Pictures with the captions they had: the new one, else the old."""
+    kept = old.where("caption is not null").groupBy("doc_id", "image_id").agg(F.max("caption").alias("old"))
+    return new.join(kept, ["doc_id", "image_id"], "left").withColumn("caption", F.coalesce("caption", "old")).drop("old")
