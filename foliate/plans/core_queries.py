@@ -41,7 +41,40 @@ QUERIES = {"p1_found": p1_found, "p4_found": p4_found}
 
 _HASH = "nullif(regexp_replace(lower(trim({})), '^sha256:', ''), '')"
 
+
+
+
+def _array(x: str) -> str:
+    """A JSON value as a list: a string stands for what it holds, an object for a list of one."""
+    held = f"case when json_type({x}) = 'VARCHAR' then try_cast(json_extract_string({x}, '$') as json) else {x} end"
+    return f"case json_type({held}) when 'ARRAY' then cast({held} as json[]) when 'OBJECT' then [{held}] else cast([] as json[]) end"
+
+
+def _element(x: str) -> str:
+    return f"case when json_type({x}) = 'VARCHAR' then try_cast(json_extract_string({x}, '$') as json) else {x} end"
+
+
+#: Sections of all outlines: sections(structure_id, parent_path, item_path, node).
+SECTIONS = f"""r as (select structure_id, cast(outline as json) as j from structure where outline is not null and json_valid(outline)),
+sections as (
+  select structure_id, '' as parent_path, cast(i as varchar) as item_path, {_element("e")} as node
+  from (select structure_id, unnest({_array("j")}) as e, generate_subscripts({_array("j")}, 1) as i from r) where json_type({_element("e")}) = 'OBJECT'
+  union all
+  select structure_id, item_path, item_path || '.' || i, {_element("e")}
+  from (select structure_id, item_path, unnest({_array("json_extract(node, '$.children')")}) as e, generate_subscripts({_array("json_extract(node, '$.children')")}, 1) as i from sections) where json_type({_element("e")}) = 'OBJECT')"""
+
+
+def _items(group: str, kind: str) -> str:
+    items = _array(f"json_extract(node, '$.{group}')")
+    return f"""select structure_id, '{kind}' as item_kind, item_path || '/' || i as item_path, item_path as parent_path
+  from (select structure_id, item_path, unnest({items}) as e, generate_subscripts({items}, 1) as i from sections) where json_type({_element("e")}) = 'OBJECT'"""
+
+
 SQL = {
+    "p1_found": f"""with recursive {SECTIONS}
+select structure_id, 'section' as item_kind, item_path, parent_path from sections
+union all {_items("images", "image")}
+union all {_items("links", "link")}""",
     "p4_found": f"""
 with p as (
   select run_no, doc_id, {_HASH.format("source_sha256")} as h,
