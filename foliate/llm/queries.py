@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.llm import mixing, neardup, pii, scans, split, tokens, unify
+from foliate.plans.core_queries import SECTIONS
 from foliate.tables import table
 
 
@@ -98,4 +99,27 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_lines": p6_lines, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
-SQL: dict[str, str] = {}
+
+
+def _similar(field: str, rows: str, k: int, threshold: float) -> tuple[str, str]:
+    """All pairs by an index of the elements."""
+    words = "regexp_extract_all(lower(t), '[\\p{L}\\p{N}]+')"
+    gram = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return f"""select '{field}' as field, a.doc_id as doc_a, b.doc_id as doc_b from
+  (select doc_id, e, n from s_{k}) a join (select doc_id, e, n from s_{k}) b on a.e = b.e and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having count(*) >= {threshold} * (a.n + b.n - count(*))""", f"""s_{k} as (
+  select doc_id, e, count(*) over (partition by doc_id) as n from (
+    select distinct doc_id, {gram} as e from (select doc_id, w, unnest(range(1, len(w) - {k - 2})) as i from (select doc_id, {words} as w from ({rows})))))"""
+
+
+_BODIES = _similar("body_md", "select doc_id, any_value(body_md) as t from document_md where doc_id is not null and body_md is not null group by 1", 3, 0.6)
+_PATHS = _similar("source_relpath", "select distinct doc_id, source_relpath as t from manifest where doc_id is not null and source_relpath is not null", 1, 0.5)
+
+SQL: dict[str, str] = {
+    "p2_found": f"with {_BODIES[1]}, {_PATHS[1]} {_BODIES[0]} union all {_PATHS[0]}",
+    "p3_found": f"""with recursive {SECTIONS},
+ b as (select doc_id, sha256(body_md) as sha, string_split(any_value(body_md), chr(10)) as lines from document_md group by doc_id, sha256(body_md)),
+ x as (select s.structure_id, item_path, lines, try_cast(json_extract(node, '$.line_span[0]') as bigint) as a, try_cast(json_extract(node, '$.line_span[1]') as bigint) as z
+   from sections join structure s using (structure_id) join b on b.doc_id = s.doc_id and b.sha = regexp_replace(lower(trim(s.markdown_sha256)), '^sha256:', ''))
+ select structure_id, item_path as node_path from x where a < z and list_sum(list_transform(lines[greatest(a, 0) + 1:z], lambda l: (len(l) + 3) // 4)) > 1200""",
+}
