@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,20 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "folia
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package, wherever it lies on the driver. Done once a context."""
+    context = spark.sparkContext
+    if getattr(context, "_foliate_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="foliate-")) / "foliate.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, Path("foliate") / file.relative_to(root))
+    context.addPyFile(str(archive))
+    context._foliate_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir of the session.
 
