@@ -19,6 +19,7 @@ any length is cut; repeated body rows count once; repeated structure rows have i
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from foliate.operators import nested
 from foliate.operators.ledger import hash_key
+from foliate.session import written
 
 LIMIT, OVERLAP, BLOCK, MAX_UNIT = 1200, 100, 150, 120
 HEADING, PARAGRAPH, LINE, SENTENCE, WORDS = 4, 3, 2, 1, 0
@@ -182,7 +184,10 @@ def _span(value) -> tuple[int, int] | None:
 
 
 def section_spans(structure: DataFrame) -> DataFrame:
-    """(structure_id, doc_id, sha, spans): the sections of each current outline; the outline itself goes no further."""
+    """(structure_id, doc_id, sha, work, spans): the sections of each current outline; the outline itself goes no further.
+
+    work names what is to be split: rows of one document, hash and set of sections have the same.
+    """
     spec = nested.TreeSpec(kinds={"children": "section"}, leaves={"children": ("line_span",)})
     item = pa.struct([("path", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
@@ -195,41 +200,46 @@ def section_spans(structure: DataFrame) -> DataFrame:
                     for r, path, value in zip(records.tolist(), paths, values["line_span"]):
                         if span := _span(value):
                             spans[r].append({"path": path, "a": span[0], "b": span[1]})
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(spans, pa.list_(item))], ["structure_id", "doc_id", "sha", "spans"])
+                keys = [hashlib.sha1(f"{d}\n{h}\n{s}".encode()).hexdigest() for d, h, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), spans)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(keys), pa.array(spans, pa.list_(item))], ["structure_id", "doc_id", "sha", "work", "spans"])
 
     rows = structure.select("structure_id", "doc_id", hash_key(F.col("markdown_sha256")).alias("sha"), "outline")
     rows = rows.where("doc_id is not null and sha is not null and outline is not null")
-    return rows.mapInArrow(run, "structure_id bigint, doc_id string, sha string, spans array<struct<path:string,a:bigint,b:bigint>>").where("size(spans) > 0")
+    return rows.mapInArrow(run, "structure_id bigint, doc_id string, sha string, work string, spans array<struct<path:string,a:bigint,b:bigint>>").where("size(spans) > 0")
 
 
 def split_sections(structure: DataFrame, bodies: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True) -> DataFrame:
     """Pieces of every section above the limit: one row per structure row, section and piece (numbered from 1).
 
     Bodies that can't reach the limit as a whole are left out before the shuffle; each other body is shuffled once, by
-    document and hash, so a document of many versions isn't one task's work, and repeated rows fall together there.
+    document and hash. Structure rows that ask for the same sections of the same body are one piece of work, joined
+    back to their ids at the end: so neither a document of many versions nor a structure row that comes a million times
+    is one task's work.
     """
     body = bodies.select("doc_id", F.sha2(F.col("body_md"), 256).alias("sha"), "body_md")
     newlines = F.length("body_md") - F.length(F.regexp_replace("body_md", "\n", "")) + 1
     body = body.where(F.col("doc_id").isNotNull() & (F.length("body_md") + 2 * newlines + 1 > 4 * limit)).dropDuplicates(["doc_id", "sha"])
-    joined = section_spans(structure).join(body, ["doc_id", "sha"]).select("structure_id", "spans", "body_md")
-    names = ["structure_id", "node_path", "piece_no", "first_line", "first_char", "last_line", "end_char", "n_tokens", "cut", "overlap_tokens", "text"]
-    types = [pa.int64(), pa.string(), *[pa.int64()] * 6, pa.string(), pa.int64(), pa.string()]
+    asked = written(section_spans(structure), "split-spans")
+    joined = asked.drop("structure_id").dropDuplicates(["work"]).join(body, ["doc_id", "sha"]).select("work", "spans", "body_md")
+    names = ["work", "node_path", "piece_no", "first_line", "first_char", "last_line", "end_char", "n_tokens", "cut", "overlap_tokens", "text"]
+    types = [pa.string(), pa.string(), *[pa.int64()] * 6, pa.string(), pa.int64(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for sid, spans, body in zip(*(batch.column(i) for i in range(3))):
+            for work, spans, body in zip(*(batch.column(i) for i in range(3))):
                 split = Splitter(body.as_py())
                 for s in spans.as_py():
                     if split.tokens(s["a"], s["b"]) <= limit:
                         continue
                     for n, p in enumerate(split.pieces(s["a"], s["b"], limit, overlap), 1):
-                        out.append((sid.as_py(), s["path"], n, *p, split.text(p) if with_text else None))
+                        out.append((work.as_py(), s["path"], n, *p, split.text(p) if with_text else None))
                 if len(out) >= 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
                     out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    schema = "structure_id bigint, node_path string, piece_no bigint, first_line bigint, first_char bigint, last_line bigint, end_char bigint, n_tokens bigint, cut string, overlap_tokens bigint, text string"
-    return joined.mapInArrow(run, schema)
+    schema = "work string, node_path string, piece_no bigint, first_line bigint, first_char bigint, last_line bigint, end_char bigint, n_tokens bigint, cut string, overlap_tokens bigint, text string"
+    pieces = joined.mapInArrow(run, schema)
+    return asked.select("structure_id", "work").join(pieces, "work").drop("work")
