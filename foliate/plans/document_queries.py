@@ -382,6 +382,30 @@ def markdown_issues(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "i.line", "i.code", "i.severity", "i.message")
 
 
+_TRUE_LINES = f"""l as (select doc_id, unnest(string_split(body, chr(10))) as raw, generate_subscripts(string_split(body, chr(10)), 1) as line from (select doc_id, any_value(body_md) as body from document_md group by 1)),
+ p as (select *, {_F} as mark, sum(case when {_F} then 1 else 0 end) over (partition by doc_id order by line) as run from l)"""
+
+
+@query(
+    f"""with {_TRUE_LINES}, h as (select doc_id, line, len(regexp_extract(raw, '^(#{{1,6}})\\s+\\S', 1)) as level from p where not mark and run % 2 = 0 and regexp_matches(raw, '^#{{1,6}}\\s+\\S')),
+ j as (select *, lag(level) over (partition by doc_id order by line) as above from h)
+ select doc_id, cast(line as integer) as line, 'heading level jumps from ' || above || ' to ' || level as message from j where level > above + 1"""
+)
+def heading_jumps(spark: SparkSession, d: str) -> DataFrame:
+    return markdown_issues(spark, d).where("code = 'heading-jump'").select("doc_id", "line", "message")
+
+
+@query(
+    f"""with {_TRUE_LINES}, q as (select *, {_PIPED} as piped from p where not mark and run % 2 = 0),
+ g as (select *, line - row_number() over (partition by doc_id, run order by line) as island, run as r from q where piped),
+ n as (select doc_id, r, island, min(line) as first, count(*) as n from g group by all),
+ s as (select n.doc_id, n.first, g.raw as second from n join g on g.doc_id = n.doc_id and g.line = n.first + 1 where n.n > 1)
+ select doc_id, cast(first as integer) as line from s where not regexp_full_match({sql_strip("second")}, '\\|?(\\s*:?-+:?\\s*\\|)*\\s*:?-+:?\\s*\\|?')"""
+)
+def tables_without_separator(spark: SparkSession, d: str) -> DataFrame:
+    return markdown_issues(spark, d).where("code = 'table-no-separator'").select("doc_id", "line")
+
+
 @query(
     """with l as (select doc_id, unnest(string_split(body, chr(10))) as raw, generate_subscripts(string_split(body, chr(10)), 1) as line from (select doc_id, any_value(body_md) as body from document_md group by 1))
  select doc_id, cast(line as integer) as line, 'bad-chars' as code from l where regexp_matches(raw, '[\\x{00}-\\x{08}\\x{0b}\\x{0c}\\x{0e}-\\x{1f}\\x{FFFD}]')"""
@@ -457,19 +481,50 @@ def outline_nodes(spark: SparkSession, d: str) -> DataFrame:
     return nodes.select(F.col("key").alias("doc_id"), "id", "parent", "level", "title", "anchor", "line_start", "line_end", "self_tokens", "subtree_tokens", "tables", F.size("images").alias("n_images"), F.size("links").alias("n_links"))
 
 
+HEADS = f"""l as ({LINES}), a as (select *, {_S} as s, (len(raw) + 3) // 4 as tokens from l),
+ b as (select *, regexp_extract(s, '^(\\d+(?:\\.\\d+){{0,3}})\\.?\\s+[A-Za-z]', 1) as num, len(regexp_replace(s, '[^\\p{{L}}]+', '', 'g')) as letters, len(regexp_replace(s, '[^\\p{{Lu}}]+', '', 'g')) as capitals, len(string_split(regexp_replace(s, '{WS}+', ' ', 'g'), ' ')) as words,
+   coalesce(sum(tokens) over (partition by doc_id order by line rows between unbounded preceding and 1 preceding), 0) as before from a),
+ e as (select doc_id, max(line) + 1 as n, sum(tokens) as total from a group by 1),
+ h0 as (select doc_id, line, before, {HEADING} as level from b where not regexp_matches(raw, '\\.{{4,}}\\s*\\d+\\s*$') and not regexp_matches(raw, '^\\s*\\d+\\s*$') and not regexp_matches(s, '^\\|.*\\|') and not (contains(s, '-') and contains(s, '|') and regexp_full_match(s, '[|:\\-{fn.SPACE}]+')) and not regexp_matches(raw, '^\\s*(?:[-*+]|\\d+[.)])\\s+\\S')),
+ h as (select * from h0 where level > 0),
+ own as (select *, lead(line) over (partition by doc_id order by line) as next_line, lead(before) over (partition by doc_id order by line) as next_before from h),
+ sub as (select h.doc_id, h.line, min(k.line) as stop, min(k.before) as stop_before from h join h k on k.doc_id = h.doc_id and k.line > h.line and k.level <= h.level group by all),
+ spans as (select own.doc_id, own.level, own.line as line_start, coalesce(sub.stop, e.n) as line_end, coalesce(next_before, e.total) - own.before as self_tokens, coalesce(stop_before, e.total) - own.before as subtree_tokens from own join e using (doc_id) left join sub on sub.doc_id = own.doc_id and sub.line = own.line),
+ first as (select e.doc_id, coalesce(min(h.line), any_value(e.n)) as line, coalesce(min(h.before), any_value(e.total)) as before from e left join h using (doc_id) group by 1),
+ preamble as (select doc_id, 1 as level, 0 as line_start, first.line as line_end, first.before as self_tokens, first.before as subtree_tokens from first where exists (select 1 from a where a.doc_id = first.doc_id and a.line < first.line and a.s <> '')),
+ nodes as (select * from spans union all select * from preamble)"""
+
+
+@query(f"with {HEADS} select doc_id, level::integer as level, line_start::integer as line_start, line_end::integer as line_end, self_tokens::bigint as self_tokens, subtree_tokens::bigint as subtree_tokens from nodes")
+def outline_spans(spark: SparkSession, d: str) -> DataFrame:
+    return outline_nodes(spark, d).select("doc_id", "level", "line_start", "line_end", "self_tokens", "subtree_tokens")
+
+
 @query(f"with l as ({LINES}) select doc_id, cast(line as integer) as line, parse_path(m[3], '/')[-1] as file from (select doc_id, line, unnest(list_transform(regexp_extract_all(raw, '!\\[[^\\]]*\\]\\([^)\\s]+'), lambda x: ['', '', regexp_extract(x, '\\(([^)\\s]+)', 1)])) as m from l)")
 def image_references(spark: SparkSession, d: str) -> DataFrame:
     nodes = outline.outline_nodes(bodies(spark, d), "doc_id", "body_md")
     return nodes.select(F.col("key").alias("doc_id"), F.explode("images").alias("i")).select("doc_id", F.col("i.line").alias("line"), F.element_at(F.split("i.ref", "/"), -1).alias("file"))
 
 
-@query()
+_LINKS = "regexp_extract_all(raw, '(?:^|[^!\\\\])\\[[^\\]]*\\]\\([^)\\s]+')"
+
+
+@query(
+    f"""with l as ({LINES}), p as (select *, {_F} as mark, sum(case when {_F} then 1 else 0 end) over (partition by doc_id order by line) as run from l),
+ m as (select doc_id, line, unnest({_LINKS}) as x from p where not mark and run % 2 = 0)
+ select doc_id, cast(line as integer) as line, regexp_extract(x, '\\[([^\\]]*)\\]\\(([^)\\s]+)$', 1) as text, regexp_extract(x, '\\[([^\\]]*)\\]\\(([^)\\s]+)$', 2) as url from m"""
+)
 def link_edges(spark: SparkSession, d: str) -> DataFrame:
     nodes = outline.outline_nodes(bodies(spark, d), "doc_id", "body_md")
     return nodes.select(F.col("key").alias("doc_id"), F.explode("links").alias("l")).select("doc_id", "l.line", "l.text", "l.url")
 
 
-@query()
+@query(
+    f"""with {HEADS}, c as (select a.doc_id, a.line, a.raw, exists (select 1 from nodes n where n.doc_id = a.doc_id and n.line_start <= a.line and a.line < n.line_end) as covered from a where a.raw <> '' and regexp_matches(a.raw, '[^ ]')),
+ k as (select *, not covered and (regexp_matches(raw, '\\.{{4,}}\\s*\\d+\\s*$') or regexp_matches(raw, '^\\s*\\d+\\s*$') or regexp_matches(raw, '(?i)^\\s*(table of contents|contents)\\s*$')) as toc from c)
+ select e.doc_id as key, count(k.line) as content_lines, count_if(coalesce(covered, false)) as covered_lines, count_if(coalesce(toc, false)) as toc_lines, count_if(coalesce(not covered and not toc, false)) as uncovered_lines,
+   cast(list_slice(coalesce(list_sort(list(k.line) filter (where not covered and not toc)), []), 1, 5) as integer[]) as first_uncovered from e left join k on k.doc_id = e.doc_id group by 1"""
+)
 def outline_coverage(spark: SparkSession, d: str) -> DataFrame:
     docs = bodies(spark, d)
     return outline.outline_coverage(docs, outline.outline_nodes(docs, "doc_id", "body_md"), "doc_id", "body_md")
