@@ -189,6 +189,7 @@ def similar_classes(table: DataFrame, threshold: float, df: DataFrame, id_col: s
     """Pairs (a, b) of classes whose sets have a Jaccard similarity of at least the threshold."""
     margin = 4 * (threshold * (1 - threshold) / (4 * bands)) ** 0.5
     classes = table.where("bands is not null").select("set_key", "id", "small", "sketch").dropDuplicates(["set_key"])
+    classes = written(classes, "neardup-classes")  # so that the joins' sides are plain exchanges, which may be split where one class has many pairs
     a, b = classes.toDF("a", "x", "sa", "ka"), classes.toDF("b", "y", "sb", "kb")
     pairs = written(candidate_classes(table).join(a, "a").join(b, "b"), "neardup-pairs")
 
