@@ -211,7 +211,30 @@ def without_running_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("rec_id", F.md5(recall.without_running_lines("source_text")).alias("digest"))
 
 
-@query()
+_GAP_PAGES = PAGES.replace("select rec_id as key, string_split(source_text, chr(12)) as pages from coverage_record where source_text is not null", "select s.key, string_split(coalesce(s.text, ''), chr(12)) as pages from s join t using (key)")
+
+
+@query(
+    f"""with {SIDES}, {_GAP_PAGES},
+ k as (select f.* from f anti join b on f.key = b.key and f.flat = b.flat),
+ sw as (select key, token, count(*) as n from (select key, unnest({TOKENS.format('raw')}) as token from k) group by all),
+ tw as (select key, unnest(w) as token, generate_subscripts(w, 1) as pos from (select t.key, {TOKENS.format('t.text')} as w from t join s using (key))),
+ tn as (select key, token, count(*) as n from tw group by all),
+ ms as (select sw.key, sw.token, sw.n as src, least(sw.n, coalesce(tn.n, 0)) as hit from sw left join tn using (key, token)),
+ su as (select tw.*, row_number() over (partition by tw.key, tw.token order by pos) > coalesce(sw.n, 0) as extra from tw left join sw using (key, token)),
+ st as (select key, string_agg(token, '' order by pos) as stream from su where extra group by 1),
+ mk as (select key, page, flat, regexp_replace(flat, '\\d+', '#', 'g') as form from k where flat <> ''),
+ mm as (select key, form from mk group by all having count(distinct page) > 1),
+ bw as (select key, token, count(*) as n from (select mk.key, unnest({TOKENS.format('flat')}) as token from mk join mm on mk.key = mm.key and mk.form = mm.form) group by all),
+ c1 as (select ms.key, token, src, hit, src - hit as m, regexp_full_match(token, '[0-9]+') as digits, case when len(token) > 3 and not regexp_full_match(token, '[0-9]+') then least(src - hit, coalesce((len(stream) - len(replace(stream, token, ''))) // len(token), 0)) else 0 end as fused from ms left join st using (key)),
+ c2 as (select c1.*, case when digits then 0 else least(m - fused, coalesce(bw.n, 0)) end as boiler from c1 left join bw using (key, token)),
+ c3 as (select *, case when digits then 0 else m - fused - boiler end as rest from c2),
+ top as (select key, token, rest, row_number() over (partition by key order by rest desc, token) as place from c3 where rest > 0 and len(token) > 3),
+ tj as (select key, string_agg('{{"token":"' || token || '","cnt":' || rest || '}}', ',' order by place) as j from top where place <= 20 group by 1),
+ g as (select key, sum(src) as n_source, sum(hit) as covered, sum(fused) as fused, sum(case when digits then m else 0 end) as numeric, sum(boiler) as residual_boiler, sum(case when len(token) < 4 then rest else 0 end) as short, sum(case when len(token) > 3 then rest else 0 end) as absent from c3 group by 1)
+ select s.key, coalesce(n_source, 0)::bigint as n_source, coalesce(covered, 0)::bigint as covered, coalesce(fused, 0)::bigint as fused, coalesce(numeric, 0)::bigint as numeric, 0::bigint as image_text, coalesce(residual_boiler, 0)::bigint as residual_boiler, coalesce(short, 0)::bigint as short, coalesce(absent, 0)::bigint as absent, '[' || coalesce(j, '') || ']' as absent_top
+ from s join t using (key) left join g using (key) left join tj using (key)"""
+)
 def gap_buckets(spark: SparkSession, d: str) -> DataFrame:
     rows = _pairs(spark, d).select("key", recall.explain_gap("source", "target").alias("g"))
     return rows.select("key", *[F.col(f"g.{f}").alias(f) for f in recall.GAP_FIELDS], F.to_json("g.absent_top").alias("absent_top"))
