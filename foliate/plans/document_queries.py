@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliate.functions import text as fn
 from foliate.functions.markdown import markdown_to_text
-from foliate.operators import dataflow, figures, outline, recall, recovery, validation
+from foliate.operators import assets, dataflow, figures, layout, outline, recall, recovery, validation
 from foliate.tables import table
 
 QUERIES: dict = {}
@@ -639,6 +639,53 @@ def captions(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", fn.caption_is_useful("text").alias("useful"), fn.caption_is_furniture("text").alias("furniture"))
 
 
+_PICTURE = r"!\[[^\]]*\]\(images/([^)\s]+)\)"
+
+
+@query(
+    f"""with b as (select doc_id, any_value(body_md) as body from document_md group by 1),
+ r as (select doc_id, part, count(*) as n from (select doc_id, unnest(regexp_extract_all(body, '{_PICTURE}', 1)) as part from b) group by all),
+ f as (select *, case when len(regexp_replace(part, '[^0-7]', '', 'g')) % 5 <> 0 then substr(sha256(part), 1, 16) || '.' || lower(regexp_extract(part, '\\.([A-Za-z0-9]+)$', 1)) end as file from r)
+ select doc_id, sum(n)::bigint as n_referenced, coalesce(sum(n) filter (where file is not null), 0)::bigint as n_resolved, count(distinct file) as n_files, (sum(n) - coalesce(sum(n) filter (where file is not null), 0))::bigint as n_missing from f group by 1"""
+)
+def asset_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The pictures of the bodies as marks, with bytes for most of them."""
+    docs = bodies(spark, d).select("doc_id", F.regexp_replace("body_md", _PICTURE, "<!-- ooxml-image:$1 -->").alias("markdown"))
+    media = assets.references(docs).where("length(regexp_replace(part, '[^0-7]', '')) % 5 != 0").select("doc_id", "part", F.encode("part", "UTF-8").alias("bytes"))
+    return assets.plan_summary(assets.plan(docs, media))
+
+
+@query(
+    f"""with p as (select id as doc_id, string_split(source_text, chr(12)) as pages from (select *, row_number() over (partition by id order by ts desc, rec_id desc) as k from coverage_record where id is not null) where k = 1 and source_text is not null),
+ q as (select doc_id, len(pages) - 1 as last, unnest(pages) as text, generate_subscripts(pages, 1) - 1 as page from p),
+ w as (select doc_id, 'head' as e, page, text from q where page < 10 union all select doc_id, 'tail', page, text from q where last >= 10 and page > last - 10),
+ g as (select doc_id, e, len({sql_strip("string_agg(text, '' order by page)")}) / greatest(count(*), 1)::double >= 100 as ok from w group by all)
+ select doc_id, bool_and(ok) as has_text from g group by 1"""
+)
+def text_layer_probe(spark: SparkSession, d: str) -> DataFrame:
+    pages = latest(spark, d, "source_text").where("source_text is not null").select(F.col("id").alias("doc_id"), F.posexplode(F.split("source_text", "\f", -1)).alias("page_no", "text"))
+    return layout.text_layer_probe(pages)
+
+
+@query(
+    """select rec_id, case when upper(docling_status) = 'PASSTHROUGH' then structure_errors = 0 else structure_errors = 0 and upper(coalesce(docling_status, '')) not in ('FAILURE', 'PARTIAL_SUCCESS') and not (n_source >= 50 and recall < 0.8) end as valid,
+  ext = 'pdf' and not (coalesce(n_source, 0) > 500) as ocr from coverage_record"""
+)
+def layout_validity(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "coverage_record", "rec_id", "ext", "docling_status", "structure_errors", "n_source", "recall")
+    lossy = recall.is_lossy(F.col("n_source"), F.col("recall"))
+    valid = layout.is_valid(F.col("docling_status"), F.col("structure_errors") == 0, lossy, F.lit(None).cast("boolean"))
+    return rows.select("rec_id", valid.alias("valid"), layout.needs_ocr("auto", F.col("ext"), F.col("n_source") > 500).alias("ocr"))
+
+
+@query()
+def layout_losslessness(spark: SparkSession, d: str) -> DataFrame:
+    """The page documents measured against their text layer."""
+    source = latest(spark, d, "source_text", "ext").where("ext = 'pdf' and source_text is not null").select(F.col("id").alias("doc_id"), F.col("source_text").alias("layer"))
+    rows = source.join(bodies(spark, d).withColumnRenamed("body_md", "markdown"), "doc_id").select("*", F.lit("").alias("furniture"), F.lit("").alias("image_text"))
+    return layout.losslessness(rows)
+
+
 # ---- dataflow -------------------------------------------------------------------------------------------------------
 
 
