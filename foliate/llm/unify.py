@@ -85,6 +85,7 @@ def _mixed_runs(line: str) -> list[re.Match]:
 
 
 def _mixes(run: str) -> bool:
+    """Whether a run is Latin but for its foreign letters: by a Latin letter, or as a number in which they are the fewer signs."""
     return bool(_latin.search(run) or (re.search("[0-9]", run) and len(_foreign.findall(run)) < len(run) / 2)) and not _unit.fullmatch(run)
 
 

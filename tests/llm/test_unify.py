@@ -28,7 +28,9 @@ def brute(line):
             run += c
             continue
         scripts = {unicodedata.name(x, "").split()[0] for x in run if x.isalpha()}
-        if "LATIN" in scripts and scripts & {"GREEK", "CYRILLIC"} and scripts <= {"LATIN", "GREEK", "CYRILLIC"}:
+        foreign = sum(unicodedata.name(x, "").split()[0] in ("GREEK", "CYRILLIC") for x in run if x.isalpha())
+        numeric = any(x in "0123456789" for x in run) and foreign < len(run) / 2  # a number with a letter for one of its signs
+        if ("LATIN" in scripts or numeric) and foreign and scripts <= {"LATIN", "GREEK", "CYRILLIC"}:
             unit = run.lstrip("0123456789")
             if not (unit in ("Ω", "kΩ", "MΩ", "mΩ") or unit.startswith("μ") and unit[1:].isascii() and unit[1:].isalpha() and len(unit) < 5):
                 return True
