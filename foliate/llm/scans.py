@@ -247,7 +247,7 @@ def furniture(lines: list[str], running: list[bool]) -> set[int]:
     for i, line in enumerate(flat):
         if running[i] and line and (n := _numbered(line)):
             numbered[i] = n
-            styles[n[0]].append((i, n[1]))
+            styles["bare" if n[0] == "roman" else n[0]].append((i, n[1]))
     edges = _edges(flat, breaks) if breaks else None
     found: set[int] = set()
     for style, values in styles.items():
@@ -255,16 +255,14 @@ def furniture(lines: list[str], running: list[bool]) -> set[int]:
             chain = _running(values)
             if len(chain) > 1:
                 found |= {i for i, _ in values}
-        elif style in ("bare", "roman"):
+        elif style == "bare":  # numbers alone, of either kind: numberings change from one to the other
             if edges is not None:
                 values = [(i, v) for i, v in values if i in edges]
                 offsets = Counter(v - page_of(i) for i, v in values)
                 if offsets and (top := offsets.most_common(1)[0])[1] > 1:
                     found |= {i for i, v in values if v - page_of(i) == top[0]}
             else:
-                chain = [values[c] for c in _running(values)]
-                if len(chain) > 2 and _paced(chain):
-                    found |= {i for i, _ in chain}
+                found |= {i for i, _ in _steady(values)}
     # running lines: folded forms that come again
     groups: dict[str, list[int]] = defaultdict(list)
     for i, line in enumerate(flat):
@@ -300,11 +298,29 @@ def furniture(lines: list[str], running: list[bool]) -> set[int]:
     return found
 
 
-def _paced(chain: list[tuple[int, int]]) -> bool:
-    """Whether the (line, number) of a chain come at a steady number of lines a page."""
-    rates = sorted((b[0] - a[0]) / (b[1] - a[1]) for a, b in zip(chain, chain[1:]))
-    middle = rates[len(rates) // 2]
-    return middle > 9 and sum(0.7 * middle <= r <= 1.4 * middle for r in rates) >= 0.7 * len(rates)
+def _steady(values: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of (line, number) whose numbers rise by one, now and then two, at a steady number of lines a page; three at least."""
+    best: list[tuple[int, int]] = []
+    by: dict[int, list[int]] = defaultdict(list)
+    for line, v in values:
+        by[v].append(line)
+    tried = set()
+    for line, v in values:
+        for after in by.get(v + 1, ()):
+            page = after - line
+            if not 9 < page < 200 or (line, page) in tried:
+                continue
+            chain = [(line, v)]
+            while True:
+                at, n = chain[-1]
+                step = next(((x, n + k) for k in (1, 2) for x in sorted(by.get(n + k, ()), key=lambda x: abs(x - at - k * page)) if abs(x - at - k * page) <= max(2, 0.15 * k * page)), None)
+                if step is None:
+                    break
+                chain.append(step)
+                tried.add((step[0], page))
+            if len(chain) > max(2, len(best)):
+                best = chain
+    return best
 
 
 def _edges(flat: list[str], breaks: list[int]) -> set[int]:
@@ -396,6 +412,11 @@ class Page:
                 continue
             j = self._following(i)
             h = _head.match(self.lines[j]) if j is not None else None
+            if not (h and (m[1] + h[1]).lower() in words):  # lines that part a known word are furniture
+                k = next((k for k in range(i + 2, min(len(self.lines), i + 5)) if self.running[k] and (g := _head.match(self.lines[k])) and (m[1] + g[1]).lower() in words), None)
+                if k is not None and all(0 < len(self.lines[x].strip()) < 100 and self.lines[x].strip()[-1] not in ".,;" for x in range(i + 1, k) if x not in self.furniture):
+                    self.furniture.update(range(i + 1, k))
+                    j, h = k, _head.match(self.lines[k])
             if not h:
                 continue
             left, right, mark = m[1], h[1], m[2]
