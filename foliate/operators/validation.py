@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from foliate.functions import text as fn
 
 FENCE = r"^\s{0,3}(```|~~~)"
+_LEAD = r"[ \t\f\x0B\r]{0,3}"  # white space within a line
 _fence = re.compile(FENCE)
 _heading = re.compile(r"(#{1,6})\s+\S")
 _pipe = re.compile(r"(?<!\\)\|")
@@ -104,33 +105,30 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def content_metrics(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Counts per document. Document-local: arrays of its lines, no row is exploded or shuffled.
+    """Counts per document. Document-local and linear in its length: no row is exploded or shuffled.
 
-    A line is in code where an odd number of fence lines stands before it; the number is a running sum over the lines.
+    Fence lines open and close code in turn, whatever their marks, so code is taken out of the text by one pattern that
+    runs from a fence line to the next (or to the end); the rest is counted line by line.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(key).alias("key"), body.alias("body"), F.split(body, "\n", -1).alias("lines"))
-    marks = F.transform("lines", lambda x: x.rlike(FENCE).cast("int"))
-    base = base.withColumn("state", F.aggregate(marks, F.struct(F.array().cast("array<int>").alias("run"), F.lit(0).alias("n")), lambda a, m: F.struct(F.concat(a["run"], F.array(a["n"] + m)).alias("run"), (a["n"] + m).alias("n"))))
-    prose = F.filter(F.arrays_zip("lines", F.col("state.run").alias("run")), lambda x: (x["run"] % 2 == 0) & ~x["lines"].rlike(FENCE))
-    texts = F.transform(prose, lambda x: x["lines"])
-    count = lambda p: F.size(F.filter(texts, lambda x: x.rlike(p)))
-    total = lambda p: F.aggregate(texts, F.lit(0), lambda a, x: a + F.regexp_count(x, F.lit(p)))
+    prose = F.regexp_replace(body, rf"(?ms)^{_LEAD}(?:```|~~~)[^\n]*(?:\n.*?)??(?:\n{_LEAD}(?:```|~~~)[^\n]*$|\z)", "")
+    base = docs.select(F.col(key).alias("key"), body.alias("body"), F.split(body, "\n", -1).alias("lines"), F.split(prose, "\n", -1).alias("prose"))
+    count = lambda p: F.size(F.filter("prose", lambda x: x.rlike(p))).cast("bigint")
+    total = lambda p: F.aggregate("prose", F.lit(0), lambda a, x: a + F.regexp_count(x, F.lit(p))).cast("bigint")
     piped = r"(?<!\\)\|"
-    flat = F.transform("lines", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("lines", i + 1), F.lit("")).alias("b"), F.get("state.run", i).alias("r")))
     rule = lambda s: s.rlike(piped) & fn.strip(s).rlike(r"^\|?(\s*:?-+:?\s*\|)*\s*:?-+:?\s*\|?$")
-    tables = F.size(F.filter(flat, lambda x: (x["r"] % 2 == 0) & ~x["a"].rlike(FENCE) & x["a"].rlike(piped) & rule(x["b"])))
+    starts = F.transform("prose", lambda x, i: x.rlike(piped) & rule(F.coalesce(F.get("prose", i + 1), F.lit(""))))
     dollars = (F.length("body") - F.length(F.replace("body", F.lit("$$"), F.lit("")))) / 2
     return base.select(
         "key",
         F.length("body").cast("bigint").alias("chars"),
         F.aggregate("lines", F.lit(0), lambda a, x: a + ((F.length(x) + 3) / 4).cast("int")).cast("bigint").alias("tokens"),
-        count(r"^#{1,6}\s+\S").cast("bigint").alias("headings"),
-        tables.cast("bigint").alias("tables"),
-        total(r"!\[[^\]]*\]\([^)\s]+").cast("bigint").alias("images"),
-        total(r"(?<![!\\])\[[^\]]*\]\([^)\s]+").cast("bigint").alias("links"),
-        count(r"^\s*([-*+]|\d+[.)])\s+\S").cast("bigint").alias("lists"),
-        F.floor(F.col("state.n") / 2).cast("bigint").alias("code_blocks"),
+        count(r"^#{1,6}\s+\S").alias("headings"),
+        F.size(F.filter(starts, lambda x: x)).cast("bigint").alias("tables"),
+        total(r"!\[[^\]]*\]\([^)\s]+").alias("images"),
+        total(r"(?<![!\\])\[[^\]]*\]\([^)\s]+").alias("links"),
+        count(r"^\s*([-*+]|\d+[.)])\s+\S").alias("lists"),
+        F.floor(F.regexp_count("body", F.lit(rf"(?m)^{_LEAD}(?:```|~~~)")) / 2).cast("bigint").alias("code_blocks"),
         F.floor(dollars / 2).cast("bigint").alias("formulas"),
     )
 

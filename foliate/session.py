@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,8 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(context, "_foliate_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="foliate-")) / "foliate.zip"
+    archive = Path(tempfile.mkdtemp(prefix="foliate-")) / "foliate.zip"  # the driver serves it to the executors
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, Path("foliate") / file.relative_to(root))
@@ -48,10 +51,18 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = os.path.join(tempfile.gettempdir(), f"foliate-{os.getuid()}")
-    return "file://" + path
+    return "file://" + _own_folder()
+
+
+@lru_cache(1)
+def _own_folder() -> str:
+    """A folder of this process for local runs, removed at its end."""
+    path = tempfile.mkdtemp(prefix="foliate-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def written(df: DataFrame, what: str) -> DataFrame:

@@ -235,3 +235,19 @@ def test_dataflow(spark):
     native, md = (spark.createDataFrame(rows, "k string, text string") for rows in ([("a", "n"), ("b", "n"), ("c", None)], [("a", "m" * 20), ("b", " m ")]))
     pick = lambda backend: sorted((r.k, r.origin) for r in dataflow.select_source(native, md, "k", backend).collect())
     assert pick("docling") == [("a", "markdown"), ("b", "native"), ("c", "native")] and {o for _, o in pick("native")} == {"native"}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["# A", "text [a](b)", "```", "  ~~~ x", "- item", "| a |", "|---|", "", "![i](j)"]), max_size=9), min_size=5, max_size=20))
+def test_content_metrics_against_a_plain_walk(spark, docs):
+    df = spark.createDataFrame([(i, "\n".join(d)) for i, d in enumerate(docs)], "k int, t string")
+    got = {r.key: (r.headings, r.tables, r.images, r.links, r.lists, r.code_blocks) for r in validation.content_metrics(df, "k", "t").collect()}
+    for i, d in enumerate(docs):
+        fenced, prose, marks = False, [], 0
+        for line in d:
+            mark = line.strip().startswith(("```", "~~~"))
+            marks += mark
+            fenced ^= mark
+            prose.append("" if mark or fenced else line)
+        tables = sum(a.startswith("|") and b == "|---|" for a, b in zip(prose, prose[1:]))
+        assert got[i] == (prose.count("# A"), tables, prose.count("![i](j)"), prose.count("text [a](b)"), prose.count("- item"), marks // 2), d
