@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Constructs of Markdown (fixed patterns).
 _COMMENT = re.compile(r"(?<!\\)<!--.*?-->", re.DOTALL)
 FENCE_ANY = re.compile(r"\s*(?:`{3,}|~{3,})")
 _EMPTY = re.compile(r"\s*(?:([-*_])(?:\s*\1){2,}|=+|-+|\|?[\s:|-]*-[\s:|-]*\|?)\s*")  # rules, underlines, table separators

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from foliate.functions import text as fn
 
+#: Fence lines, headings, cells, leaked markup and damage (fixed patterns).
 FENCE = r"^\s{0,3}(```|~~~)"
 _LEAD = r"[ \t\f\x0B\r]{0,3}"  # white space within a line
 _fence = re.compile(FENCE)
