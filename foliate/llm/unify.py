@@ -32,24 +32,24 @@ from pyspark.sql import functions as F
 from foliate.llm.lines import slices, split_lines
 
 #: Characters of the property Default_Ignorable_Code_Point, and others that take no room (fixed values of the Unicode standard).
-IGNORABLE = "­͏؜ᅟ-ᅠ឴-឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
+IGNORABLE = "\u00ad\u034f\u061c\u115f-\u1160\u17b4-\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 #: Hyphens other than the ASCII one (fixed values).
-HYPHENS = "֊᠆‐‑⸗﹣－"
+HYPHENS = "\u058a\u1806\u2010\u2011\u2e17\ufe63\uff0d"
 #: Combining accents of the general blocks (fixed values).
-ACCENTS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯"
+ACCENTS = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f"
 #: Look-alike letters and the Latin letters they stand for (fixed values).
 CYRILLIC = ("АВЕКМНОРСТУХЅІЈЁаеіјорсухѕԁԛԝһ", "ABEKMHOPCTYXSIJËaeijopcyxsdqwh")
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαεγικνορτυχϲϳ", "ABEZHIKMNOPTYXaeyikvoptuxcj")
 LOOKALIKES = str.maketrans(CYRILLIC[0] + GREEK[0], CYRILLIC[1] + GREEK[1])
 
 _ignorable = re.compile(f"[{IGNORABLE}]+")
-_space = re.compile("[   -     　]")
+_space = re.compile("[\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _hyphen = re.compile(f"[{HYPHENS}]")
 _accented = re.compile(f"[^\\W\\d_][{ACCENTS}]")
 _run = re.compile(r"\w+")
-_foreign = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
-_latin = re.compile("[A-Za-zªºÀ-ɏḀ-ỿ]")
-_others = re.compile("[^0-9_A-Za-zªºÀ-ɏḀ-ỿͰ-ϿЀ-ԯἀ-῿]")
+_foreign = re.compile("[\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]")
+_latin = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]")
+_others = re.compile("[^0-9_A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff\u0370-\u03ff\u0400-\u052f\u1f00-\u1fff]")
 _unit = re.compile("[0-9]*(?:[TGMkmnpf]?Ω|μ[A-Za-z]{1,3})")
 
 
@@ -73,7 +73,7 @@ def compatibility_class() -> str:
 def screen_class() -> str:
     """RE2 class of all characters an irregular line must hold one of."""
     points: set[int] = set()
-    for text in (IGNORABLE, HYPHENS, ACCENTS, "Ͱ-Ͽ", "Ѐ-ԯ", "ἀ-῿", "   -     　"):
+    for text in (IGNORABLE, HYPHENS, ACCENTS, "\u0370-\u03ff", "\u0400-\u052f", "\u1f00-\u1fff", "\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"):
         for m in re.finditer("(.)(?:-(.))?", text, re.DOTALL):
             points.update(range(ord(m[1]), ord(m[2] or m[1]) + 1))
     return f"[{_ranges(sorted(points))}{compatibility_class()}]"
