@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -163,10 +164,10 @@ def run_tree(spark: SparkSession, root: str, out: str, accept: str | None = None
     tree = files.scan_tree(spark, root, accept).where("accepted")
     if not force and Path(manifest).exists():
         tree = tree.join(done(spark, manifest), "doc_id", "left_anti")
-    rows = write_bundles(convert(tree), out, run).withColumn("appended_at", F.current_timestamp())
-    before = spark.read.parquet(manifest).count() if Path(manifest).exists() else 0
+    number = run or uuid.uuid4().hex
+    rows = write_bundles(convert(tree), out, run).withColumn("appended_at", F.current_timestamp()).withColumn("run", F.lit(number))
     rows.write.mode("append").parquet(manifest)
-    return spark.read.parquet(manifest) if not before else spark.read.parquet(manifest).where(F.col("appended_at") == spark.read.parquet(manifest).agg(F.max("appended_at")).collect()[0][0])
+    return spark.read.parquet(manifest).where(F.col("run") == number)
 
 
 def picture_assets(tree: DataFrame) -> DataFrame:
