@@ -109,3 +109,19 @@ def test_dirty_rows_and_copies(spark):
     groups = {r.doc_a: (r.class_id, r.links) for r in neardup.duplicate_groups(df, "doc_a", "doc_b", k=3, threshold=0.6).collect()}
     assert len({groups[x][0] for x in "abc"}) == 1 and groups["a"][1] == 1 and groups["z3"][1] == 0 and len({groups[f"z{i}"][0] for i in range(12)}) == 1
     assert neardup.near_duplicates(df.limit(0), "doc_a", "doc_b").count() == 0
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    hot = " ".join(rng.choices(words, k=80))
+    near = hot.rsplit(" ", 3)[0]
+    rows = [(f"h{i:03}", hot) for i in range(60)] + [("n1", near), ("n2", near + " x")] + [(f"o{i:03}", " ".join(rng.choices(words, k=80))) for i in range(120)]
+    df = spark.createDataFrame(rows, "d string, t string")
+    groups = {r.d: (r.class_id, r.links) for r in neardup.duplicate_groups(df, "d", "t").collect()}
+    assert len(groups) == len(rows) and len({groups[d][0] for d in groups if d[0] in "hn"}) == 1 and groups["h000"][1] == 2
+    assert len({groups[d][0] for d in groups if d[0] == "o"}) == 120
+    pairs = neardup.near_duplicates(df, "d", "t").count()
+    assert pairs == 62 * 61 // 2

@@ -147,3 +147,14 @@ def test_dirty_rows(spark):
     assert {r.structure_id for r in got} == {1, 2}
     assert len(got) == len({(r.structure_id, r.node_path, r.piece_no) for r in got})
     assert split.split_sections(structure.limit(0), bodies).count() == 0
+
+
+def test_a_structure_row_that_comes_very_often(spark):
+    body = "\n".join(f"line {i} " + "word " * 60 for i in range(40))
+    sha = hashlib.sha256(body.encode()).hexdigest()
+    one = '[{"line_span": [0, 40]}]'
+    rows = [(i, "hot", sha, one) for i in range(600)] + [(1000 + i, "hot", sha, '[{"line_span": [0, 39]}]') for i in range(3)] + [(2000 + i, f"d{i}", sha, one) for i in range(20)]
+    structure = spark.createDataFrame(rows, "structure_id long, doc_id string, markdown_sha256 string, outline string")
+    bodies = spark.createDataFrame([("hot", body)] * 50 + [(f"d{i}", body) for i in range(20)], "doc_id string, body_md string")
+    got = split.split_sections(structure, bodies, with_text=False).groupBy("structure_id").count().collect()
+    assert len(got) == 623 and {r["count"] for r in got} == {len(list(split.Splitter(body).pieces(0, 40)))}
