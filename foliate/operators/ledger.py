@@ -14,6 +14,8 @@ All are DataFrame-to-DataFrame; a state table is one row per key, so nothing is
 ``LedgerStore`` keeps the state as numbered snapshots in a shared folder; a snapshot counts once its marker is
 renamed into place, so a run that dies in between leaves the former state in force.
 
+``process_pending`` is a whole run of these steps.
+
 ``replay`` answers the same question for a log of past runs: which items were pending when each run began.
 
 Defined results: rows with a null key are no items; a null, empty or blank version can't be read and is no
@@ -24,11 +26,15 @@ count once; empty tables give empty tables; extra columns of any name are left o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from foliate.session import written
+
 PENDING, LEASED, DONE = "pending", "leased", "done"
 
 STATE = T.StructType(
@@ -178,3 +184,29 @@ class LedgerStore:
         except Exception as e:  # py4j wraps the file system's error
             raise RuntimeError(f"snapshot {n} is already in force; read it and repeat") from e
         return n
+
+
+def process_pending(store: LedgerStore, items: DataFrame, work: Callable[[DataFrame], DataFrame], owner: str, now: int, seconds: int, attempts: int = 5) -> DataFrame:
+    """One run: offer items(item_key, version), lease what is pending, do the work, commit; returns the rejected results.
+
+    work gets (item_key, version, fence) and returns the rows it finished. Its results are written before they are
+    committed. If it fails, the leases stay and run out, and a later run takes the items up again; if another writer
+    was faster, the step is done anew on the state then in force.
+    """
+
+    def step(change: Callable[[DataFrame], DataFrame]) -> None:
+        for n in range(attempts):
+            base = store.latest()
+            try:
+                store.write(change(store.read()), base)
+                return
+            except RuntimeError:
+                if n + 1 == attempts:
+                    raise
+
+    step(lambda state: lease(expire(offer(state, items), now), owner, now, seconds))
+    mine = store.read().where((F.col("state") == LEASED) & (F.col("owner") == owner) & (F.col("lease_until") == now + seconds))
+    results = written(work(mine.select("item_key", "version", "fence")).select("item_key", "version", "fence"), "ledger-results")
+    rejected = written(commit(store.read(), results)[1], "ledger-rejected")
+    step(lambda state: commit(state, results)[0])
+    return rejected

@@ -73,3 +73,34 @@ def test_result_path_is_deterministic(spark):
 def test_query_is_unique(spark, data):
     got = [tuple(r) for r in p4_found(spark, data).collect()]
     assert got and len(got) == len(set(got))
+
+
+def test_runs_survive_failures_without_skip_or_repeat(spark, tmp_path):
+    store = ledger.LedgerStore(spark, f"file://{tmp_path}/runs")
+    processed = []
+
+    def work(fail_after=None):
+        def run(mine):
+            got = sorted(tuple(r) for r in mine.collect())
+            if fail_after is not None:
+                raise OSError("the run crashed")
+            processed.extend((k, v) for k, v, _ in got)
+            return mine
+
+        return run
+
+    v1 = items(spark, ("a", "1"), ("b", "1"), ("c", "1"))
+    assert ledger.process_pending(store, v1, work(), "r1", now=0, seconds=10).count() == 0
+    v2 = items(spark, ("a", "1"), ("b", "2"), ("c", "1"), ("d", "1"))
+    with pytest.raises(OSError):
+        ledger.process_pending(store, v2, work(fail_after=0), "r2", now=20, seconds=10)
+    ledger.process_pending(store, v2, work(), "r3", now=25, seconds=10)  # the crashed run's leases are still good
+    assert sorted(processed) == [("a", "1"), ("b", "1"), ("c", "1")]
+    ledger.process_pending(store, v2, work(), "r4", now=40, seconds=10)
+    assert sorted(processed) == [("a", "1"), ("b", "1"), ("b", "2"), ("c", "1"), ("d", "1")]
+    ledger.process_pending(store, v2, work(), "r5", now=60, seconds=10)
+    assert len(processed) == 5
+
+    late = spark.createDataFrame([("b", "2", 1)], "item_key string, version string, fence long")  # the crashed run's writer
+    assert ledger.process_pending(store, items(spark, ("e", "1")), lambda mine: mine.unionByName(late), "r6", now=80, seconds=10).count() == 1
+    assert rows(store.read())["e"][1] == "done"
