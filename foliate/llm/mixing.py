@@ -23,7 +23,6 @@ empty mixture; ties in size move by count alone. The draw depends on the seed an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
