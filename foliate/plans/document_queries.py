@@ -329,7 +329,7 @@ _ALT = "replace(replace(replace(replace({0}, chr(92), ' '), ']', chr(92) || ']')
 
 @query(f"select doc_id, '![' || {_ALT} || '](images/' || doc_id || '.png)' as link from documents")
 def image_links(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", fn.image_link(F.substring("text", 1, 200), F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".png"))).alias("link"))
+    return table(spark, d, "documents", "doc_id", "text").select("doc_id", fn.image_link("text", F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".png"))).alias("link"))
 
 
 @query("select doc_id, 'a ' || case when doc_id % 3 = 0 then '' else coalesce(lang, '') end || ' b ' || doc_id || ' c <!-- image -->' as filled from documents")
