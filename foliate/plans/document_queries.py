@@ -252,7 +252,7 @@ def _words(spark: SparkSession, d: str) -> DataFrame:
  select w.page, w.word, b.box, count(*) as n from w join b on w.page = b.page and (w.x0 + w.x1) / 2 between b.x0 and b.x1 and (w.y0 + w.y1) / 2 between b.y0 and b.y1 group by all"""
 )
 def words_in_boxes(spark: SparkSession, d: str) -> DataFrame:
-    boxes = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").where("l_linenumber < 3").selectExpr(
+    boxes = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").selectExpr(
         "l_orderkey as page", "l_linenumber as box", "(l_partkey % 40) / 100.0D as x0", "(l_partkey % 40 + 40) / 100.0D as x1", "(l_suppkey % 40) / 100.0D as y0", "(l_suppkey % 40 + 40) / 100.0D as y1"
     )
     return recall.words_in_boxes(_words(spark, d), boxes, ["page"]).groupBy("page", "word", "box").agg(F.count("*").alias("n"))
