@@ -65,7 +65,7 @@ def offer(state: DataFrame, items: DataFrame) -> DataFrame:
     new = new.groupBy("item_key").agg(F.max("offered").alias("offered"))
     joined = state.join(new, "item_key", "full")
     same = F.col("offered").isNull() | F.col("offered").eqNullSafe(F.col("version"))
-    done = F.col("offered").eqNullSafe(F.col("done_version"))
+    done = F.col("offered").isNotNull() & F.col("offered").eqNullSafe(F.col("done_version"))  # what isn't offered and never was done stays as it is
     fresh = ~same & ~done
     return joined.select(
         "item_key",
