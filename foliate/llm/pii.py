@@ -74,7 +74,7 @@ _dot = r"(?: ?[\[({<] ?(?:dot|DOT|punto|point|punkt) ?[\])}>] ?| (?:dot|DOT) |\.
 _veiled = re.compile(rf" ?(\w[\w\-]*(?:{_dot}\w[\w\-]*)*{_dot}[^\W\d_]{{2,24}})(?![\w\-])")
 _bare = re.compile(r"(\w[\w\-]*(?: (?:dot|DOT) \w[\w\-]*)* (?:dot|DOT) [^\W\d_]{2,24})(?![\w\-])")
 
-_run = re.compile(r"[+(]?\d[\d ().\-]{5,}")
+_run = re.compile(r"[+(]?\d[\d ()./\-]{5,}")
 _phone = re.compile(
     r"""(?<![\w.+\-/@\#:])(?:
       \+\d{1,3}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d{1,9}){1,6}

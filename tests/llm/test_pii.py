@@ -96,3 +96,10 @@ def test_queries(spark, data):
     found = p9_found(spark, data)
     assert found.columns == ["doc_id", "kind", "start_pos"] and {r.kind for r in found.select("kind").distinct().collect()} == set(pii.PLACEHOLDERS)
     assert p9_redacted(spark, data).count() == spark.read.parquet(f"{data}/documents.parquet").count()
+
+
+def test_phones_with_a_slash():
+    for phone in ("0351/1234567", "030/12345678", "06221/123456-78"):
+        text = f"Rückfragen unter {phone}. Stand 12/05/2026, Seite 3/12."
+        assert pii.find(text, AUTO, SET) == [(17, 17 + len(phone), "phone")]
+        assert pii.redact(text, pii.find(text, AUTO, SET)) == "Rückfragen unter <PHONE>. Stand 12/05/2026, Seite 3/12."
