@@ -13,7 +13,8 @@
   lines of a numbering style whose numbers run on; running headers and footers are folded forms that come again at page
   borders. Page borders are known where a form feed begins a page, else they are where furniture meets.
 
-Only texts that show signs of scanning (a cut word, misread words, or running numbers with a running line) have cases.
+Only texts that show signs of scanning have cases: a cut word, a misreading with a digit or @, page numbers that run on, or,
+of weaker signs, misread words on two lines or three lines of furniture.
 
 Defined results: null texts give nothing, empty texts stay empty; repeated rows are reported once; texts of any length
 are handled whole; headings, table rows and pictures are never
@@ -55,6 +56,7 @@ _apart = "\\w@\u0300-\u036f\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufeff"  # a to
 _token = re.compile(f"(?<![{_apart}])(?!0x)[{_lower}0-9@]*[{_lower}@][{_lower}0-9@]*(?![{_apart}])")
 _cut = re.compile(f"([A-Za-zÀ-ÖØ-öø-ÿ0-9@]*[{_lower}A-Z@])(-|¬|\xad|‐)[ \t]*$")
 _head = re.compile(f"[ \t\f]*([{_lower}0-9@]*[{_lower}@][{_lower}0-9@]*)(?![\\w@])")
+_marked = re.compile("[0-9@]")  # what no word holds: a strong sign of a misreading
 _fence = re.compile(r"\s*(```|~~~)")
 _structured = re.compile(r"\s*(#{1,6}\s|\||!\[|<!--|[-*_]{3,}\s*$)")
 
@@ -389,8 +391,19 @@ class Page:
         self.fixes: dict[int, list[tuple[int, int, str]]] = defaultdict(list)
         self._cuts(lexicon)
         self._words(lexicon)
-        if not self.hyphen and len(self.fixes) < 2 and len(self.furniture) < 3:  # no signs of scanning
-            self.furniture, self.fixes = set(), defaultdict(list)
+        if not self.hyphen and len(self.fixes) < 2 and len(self.furniture) < 3:  # few findings: only strong ones are signs of scanning
+            if not any(_marked.search(lines[i][start:end]) for i, fixes in self.fixes.items() for start, end, _ in fixes):
+                self.fixes = defaultdict(list)
+                if not self._numbers_run():
+                    self.furniture = set()
+
+    def _numbers_run(self) -> bool:
+        """Whether two lines of furniture are page numbers of one style that follow one another."""
+        styles: dict[tuple[str, str], list[tuple[int, int]]] = defaultdict(list)
+        for i in sorted(self.furniture):
+            if n := _numbered(self.lines[i].replace("\f", "").strip()):
+                styles["bare" if n[0] == "roman" else n[0], n[2]].append((i, n[1]))
+        return any(len(_running(values)) > 1 for values in styles.values())
 
     def _following(self, i: int) -> int | None:
         """The line that goes on after line i: the next written one, over furniture and, behind that, blank lines."""

@@ -157,3 +157,14 @@ def test_queries(spark, data):
     assert all(lanes[r[1]] == "pdf" for r in rows if r[0] == "body_md")
     bodies = spark.read.parquet(f"{data}/document_md.parquet").select("doc_id").distinct().count()
     assert p5_repaired(spark, data).where("field = 'body_md'").count() == bodies
+
+
+def test_few_strong_findings_are_kept(lexicon):
+    plain = "After the early timer blocks the clock, the stale bridge routes the packet."
+    strong = plain.replace("packet", "p@cket")
+    assert scans.Page(strong, lexicon).cases() == [(0, "ocr")] and scans.Page(strong, lexicon).repaired() == plain
+    pages = f"Dorlenmar Global table\n{strong}\n\fDorlenmar Global table\n{plain}"
+    assert scans.Page(pages, lexicon).cases() == [(0, "furniture"), (1, "ocr"), (2, "furniture")]
+    numbers = f"{plain}\nPage 1 of 2\n\f{plain}\nPage 2 of 2"
+    assert scans.Page(numbers, lexicon).cases() == [(1, "furniture"), (3, "furniture")]
+    assert scans.Page(plain.replace("the packet", "thc packet"), lexicon).cases() == []  # a weak one
