@@ -248,6 +248,7 @@ def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, thre
     Only classes are linked, so a group of exact copies is one node. Labels spread over the links, each round by one
     aggregation; every round is written to the shared folder, and the labels also hop over their own label, so the
     number of rounds grows with the logarithm of a chain's length.
+    A text with fewer than k words has no set: equal ones are one class, and a null text is a class of its own.
     """
     table = written(signature_table(df, id_col, text_col, k, bands), "neardup-signatures")
     members = table.select("set_key", F.col("id").alias(id_col)).distinct()
@@ -266,4 +267,8 @@ def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, thre
             break
     degree = links.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "set_key")
     out = members.join(labels.withColumnRenamed("v", "set_key"), "set_key", "left").join(degree, "set_key", "left")
-    return out.select(id_col, F.coalesce("label", "set_key").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    out = out.select(id_col, F.coalesce("label", "set_key").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    rest = df.where(F.col(id_col).isNotNull()).select(id_col, F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).alias("h"))
+    rest = rest.groupBy(id_col).agg(F.max("h").alias("h")).join(members.select(id_col).distinct(), id_col, "left_anti")
+    rest = rest.select(id_col, F.coalesce("h", F.xxhash64(F.lit("null"), id_col)).alias("class_id"), F.lit(0).cast("bigint").alias("links"))
+    return out.unionByName(rest)

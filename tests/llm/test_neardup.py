@@ -125,3 +125,12 @@ def test_a_third_of_all_rows_are_copies(spark):
     assert len({groups[d][0] for d in groups if d[0] == "o"}) == 120
     pairs = neardup.near_duplicates(df, "d", "t").count()
     assert pairs == 62 * 61 // 2
+
+
+def test_groups_have_short_and_null_texts(spark):
+    long = "one two three four five six"
+    rows = [("a", long), ("b", long), ("c", "two words"), ("d", "two words"), ("d", "two words"), ("e", "other"), ("f", None), ("g", None), ("h", ""), (None, "x")]
+    got = neardup.duplicate_groups(spark.createDataFrame(rows, "id string, t string"), "id", "t", k=3).collect()
+    by = {r.id: r.class_id for r in got}
+    assert len(got) == 8 and set(by) == set("abcdefgh") and all(r.links == 0 for r in got)
+    assert by["a"] == by["b"] and by["c"] == by["d"] and len(set(by.values())) == 6
