@@ -6,7 +6,7 @@
 * *Misread words.* A symmetric-delete index over the frequent words (INDEX_SHARE) gives the candidates of a token: words
   that share a form with it after up to two deletions each. A weighted edit distance, in which the confusion pairs of
   scanning are cheap, and the frequencies decide whether the token is a misreading (the candidate must be RATIO times as
-  frequent as the token); the pair counts with the words before and after pick among several candidates.
+  frequent as the token); capitalised tokens are looked up in lower case and get their capital back; the pair counts with the words before and after pick among several candidates.
 * *Cut words.* A line that ends in a mark after letters is joined with the next running line without the mark, if the
   joined word is known (or is a misreading of a known one) and the hyphenated compound is not more frequent.
 * *Furniture.* Lines are compared in a folded form, in which misread characters and numbers coincide. Page numbers are
@@ -38,6 +38,7 @@ from foliate.llm.lines import slices
 from foliate.session import written
 
 WORD_SHARE, PAIR_SHARE, INDEX_SHARE = 2e-6, 1e-5, 1e-5
+USUAL_SHARE = 1e-4  # a capitalised token may be any name: without a digit or @ it is held to be a misreading of usual words only
 LEAST, RATIO = 3, 20
 FLUSH = 400_000  # terms that a task counts before it hands them on
 
@@ -51,9 +52,9 @@ FARTHEST = 0.9
 
 _lower = "a-zß-öø-ÿ"
 _word = re.compile(f"(?<![\\w@])[{_lower}]{{2,}}(?:-[{_lower}]{{2,}})*(?![\\w@])")
-_first = re.compile(f"(?:^|(?<=\n)|(?<=[.!?;:] ))(?:[-*] )?([A-ZÀ-Þ][{_lower}]+)(?![\\w@-])")
+_first = re.compile(f"(?<![\\w@-])([A-ZÀ-ÖØ-Þ][{_lower}]+)(?![\\w@-])")  # capitalised: first of a sentence, noun or name
 _apart = "\\w@\u0300-\u036f\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufeff"  # a token next to these is part of something else
-_token = re.compile(f"(?<![{_apart}])(?!0x)[{_lower}0-9@]*[{_lower}@][{_lower}0-9@]*(?![{_apart}])")
+_token = re.compile(f"(?<![{_apart}])(?!0x)(?:[A-ZÀ-ÖØ-Þ](?=[{_lower}0-9@]*[{_lower}])|(?=[{_lower}0-9@]*[{_lower}@]))[{_lower}0-9@]+(?![{_apart}])")
 _cut = re.compile(f"([A-Za-zÀ-ÖØ-öø-ÿ0-9@]*[{_lower}A-Z@])(-|¬|\xad|‐)[ \t]*$")
 _head = re.compile(f"[ \t\f]*([{_lower}0-9@]*[{_lower}@][{_lower}0-9@]*)(?![\\w@])")
 _marked = re.compile("[0-9@]")  # what no word holds: a strong sign of a misreading
@@ -145,6 +146,7 @@ class Lexicon:
             if words[w] >= least and len(w) > 2 and "-" not in w:
                 for d in _deletes(w):
                     self.index[d].append(w)
+        self.usual = max(LEAST, USUAL_SHARE * total)
         self._memo: dict[str, list[tuple[float, int, str]]] = {}
 
     def candidates(self, token: str) -> list[tuple[float, int, str]]:
@@ -165,9 +167,9 @@ class Lexicon:
             self._memo[token] = got
         return got
 
-    def correct(self, token: str, before: str = "", after: str = "") -> str | None:
-        """What a misread token stands for; None where it isn't misread."""
-        found = self.candidates(token)
+    def correct(self, token: str, before: str = "", after: str = "", usual: bool = False) -> str | None:
+        """What a misread token stands for, among usual words only if so asked; None where it isn't misread."""
+        found = [c for c in self.candidates(token) if not usual or c[1] >= self.usual]
         if not found:
             return None
         if len(found) == 1:
@@ -464,15 +466,17 @@ class Page:
                 continue
             found = list(_token.finditer(line))
             for k, m in enumerate(found):
-                token = m[0]
+                token = m[0].lower()
                 if len(token) < 3:
                     continue
                 if (k == 0 and "start" in self.parts.get(i, ()) and not line[: m.start()].strip(" \t\f")) or (k == len(found) - 1 and "end" in self.parts.get(i, ()) and not line[m.end() :].strip(" \t-¬\xad‐")):
                     continue
                 if lexicon.candidates(token):
-                    before = found[k - 1][0] if k else ""
-                    after = found[k + 1][0] if k + 1 < len(found) else ""
-                    self.fixes[i].append((m.start(), m.end(), lexicon.correct(token, before, after)))
+                    before = next((x[0] for x in reversed(found[:k]) if not x[0][0].isupper()), "")  # pairs are of lower-case words
+                    after = next((x[0] for x in found[k + 1 :] if not x[0][0].isupper()), "")
+                    capital = m[0] != token
+                    if true := lexicon.correct(token, before, after, capital and not _marked.search(token)):
+                        self.fixes[i].append((m.start(), m.end(), true.capitalize() if capital else true))
 
     def cases(self) -> list[tuple[int, str]]:
         return sorted([(i, "furniture") for i in self.furniture] + [(i, "hyphen") for i in self.hyphen] + [(i, "ocr") for i in self.fixes])

@@ -168,3 +168,13 @@ def test_few_strong_findings_are_kept(lexicon):
     numbers = f"{plain}\nPage 1 of 2\n\f{plain}\nPage 2 of 2"
     assert scans.Page(numbers, lexicon).cases() == [(1, "furniture"), (3, "furniture")]
     assert scans.Page(plain.replace("the packet", "thc packet"), lexicon).cases() == []  # a weak one
+
+
+def test_capitalised_words(lexicon, spark):
+    good = "After the Oscillator blocks the clock, Pipeline and Descriptor stay. Because the Threshold extends the Register, it blocks."
+    bad = good.replace("Oscillator", "0scillat0r").replace("Pipeline", "Pipclinc").replace("Descriptor", "Descript0r").replace("Because", "Bccause").replace("Register", "Regi5ter")
+    page = scans.Page(bad.replace("0scillat0r", "Oscillat0r"), lexicon)
+    assert page.cases() == [(0, "ocr")] and page.repaired() == good
+    assert scans.Page("Vormelkor blocks the Palmarren.", lexicon).cases() == []
+    counted = {(r.term, r.n) for r in scans.term_counts(spark.createDataFrame([("Die hohe Spannung sinkt, wenn Spannung fehlt.",)], "t string")).where("not pair").collect()}
+    assert ("spannung", 2) in counted
