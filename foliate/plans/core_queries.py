@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.operators import ledger, nested
+from foliate.session import session_dir
 from foliate.tables import table
 
 
@@ -33,7 +36,8 @@ def p4_commits(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     plan = table(spark, d, "plan", "run_no", "doc_id", "source_sha256", "scanned_at")
     offers = plan.select("run_no", F.col("doc_id").alias("item_key"), F.col("source_sha256").alias("version"), F.col("scanned_at").alias("seen_at"))
-    pending = ledger.replay(offers, p4_commits(spark, d))
+    store = ledger.LedgerStore(spark, f"{session_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    pending = ledger.replay_runs(store, offers, p4_commits(spark, d))
     return pending.select(F.col("run_no").cast("bigint").alias("run_no"), F.col("item_key").alias("doc_id"))
 
 

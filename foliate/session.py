@@ -65,12 +65,24 @@ def _own_folder() -> str:
     return path
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """Cut the lineage of df: write it once to the shared folder and read it back.
+def written(df: DataFrame, what: str, *by: str) -> DataFrame:
+    """Cut the lineage of df: write it once to the shared folder (one part per value of the columns `by`) and read it back.
 
-    Parquet on shared storage outlives any executor, and a second reader doesn't compute df again.
+    Parquet on shared storage outlives any executor, and a second reader doesn't compute df again. The tables of a
+    session lie in a folder of its own, which `clear_written` removes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{session_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def session_dir(spark: SparkSession) -> str:
+    """The folder of this session's tables below the shared folder, named by the application's id."""
+    return f"{shared_dir(spark)}/foliate-{spark.sparkContext.applicationId}"
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Remove the tables that this session wrote: when its results are saved, for they may still read them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
