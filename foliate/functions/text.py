@@ -5,10 +5,12 @@ White space and digits mean the Unicode ones throughout (SPACE); null texts coun
 
 from __future__ import annotations
 
-from functools import reduce
+import html as _html
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What counts as white space, as a character class that Java and RE2 read alike (fixed values).
 SPACE = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -102,16 +104,18 @@ def unicode_stream(text: Column | str) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(col(text), F.lit(""))), r"[^\p{L}\p{N}]+", "")
 
 
-#: Named character references that page sources use most, the ampersand last (fixed values).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    """Named and numeric character references become their characters."""
+    return texts.map(lambda t: _html.unescape(t) if "&" in t else t, na_action="ignore")
 
 
-def visible_text(html: Column | str) -> Column:
-    """The visible text of a page: comments, bodies of scripts and styles, then tags become blanks; then the references of ENTITIES."""
-    c = F.regexp_replace(F.coalesce(col(html), F.lit("")), "(?s)<!--.*?-->", " ")
+def visible_text(page: Column | str) -> Column:
+    """The visible text of a page: comments, bodies of scripts and styles, then tags become blanks; then every character reference is resolved."""
+    c = F.regexp_replace(F.coalesce(col(page), F.lit("")), "(?s)<!--.*?-->", " ")
     c = F.regexp_replace(c, r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", " ")
     c = F.regexp_replace(c, "(?s)<[^>]+>", " ")
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+    return _unescaped(c)
 
 
 def savings(source_chars: Column | str, markdown_chars: Column | str) -> Column:
@@ -235,29 +239,39 @@ def collapse_padding(md: Column | str) -> Column:
 # ---- headings -------------------------------------------------------------------------------------------------------
 
 
+#: What makes a line a heading (fixed values): pattern, base level, and the character whose number in the pattern's group is added.
+#: The first that fits counts. Both the column expression here and the outline's walk are made from this table.
+HEADINGS = (
+    (r"^(#{1,6}\s+\S[\s\S]*)", 0, "#"),
+    (r"(?i)^(chapter|section|appendix|part)\s+[0-9IVXLA-Z]", 1, ""),
+    (r"^(\d+(?:\.\d+){0,3})\.?\s+[A-Za-z]", 1, "."),
+)
+LONGEST_HEADING = 120
+#: A line in capitals is a heading, too: longest, most words, share of capitals among its letters (fixed values).
+LOUD = (70, 10, 0.85)
+#: Contents entries, bare numbers, the contents' own heading, table rows (fixed patterns).
+LEADERS, BARE_NUMBER, CONTENTS, TABLE_ROW = r"\.{4,}\s*\d+\s*$", r"^\s*\d+\s*$", r"(?i)^\s*(?:table of contents|contents)\s*$", r"^\|.*\|"
+
+
 def heading_level(line: Column | str) -> Column:
-    """The level of a heading line, 0 for others: number signs, keywords, section numbers, capitals."""
+    """The level of a heading line, 0 for others."""
     s = strip(F.coalesce(col(line), F.lit("")))
-    number = F.regexp_extract(s, r"^(\d+(?:\.\d+){0,3})\.?\s+[A-Za-z]", 1)
     letters, capitals = F.length(F.regexp_replace(s, r"[^\p{L}]+", "")), F.length(F.regexp_replace(s, r"[^\p{Lu}]+", ""))
-    loud = (letters > 0) & (F.length(s) <= 70) & (F.size(F.split(squeeze(s), " ")) <= 10) & (capitals / F.greatest(letters, F.lit(1)) > 0.85)
-    return (
-        F.when((s == "") | (F.length(s) > 120), 0)
-        .when(s.rlike(r"^#{1,6}\s+\S"), F.length(s) - F.length(F.replace(s, F.lit("#"), F.lit(""))))
-        .when(s.rlike(r"(?i)^(chapter|section|appendix|part)\s+[0-9IVXLA-Z]"), 1)
-        .when(number != "", 1 + F.length(number) - F.length(F.replace(number, F.lit("."), F.lit(""))))
-        .when(loud, 1)
-        .otherwise(0)
-    )
+    loud = (letters > 0) & (F.length(s) <= LOUD[0]) & (F.size(F.split(squeeze(s), " ")) <= LOUD[1]) & (capitals / F.greatest(letters, F.lit(1)) > LOUD[2])
+    level = F.when((s == "") | (F.length(s) > LONGEST_HEADING), 0)
+    for pattern, base, counted in HEADINGS:
+        group = F.regexp_extract(s, pattern, 1)
+        level = level.when(s.rlike(pattern), F.length(group) - F.length(F.replace(group, F.lit(counted), F.lit(""))) + base if counted else F.lit(base))
+    return level.when(loud, 1).otherwise(0)
 
 
 def is_toc_line(line: Column | str) -> Column:
     """An entry with leaders and a page number, or a bare number."""
-    return col(line).rlike(r"\.{4,}\s*\d+\s*$") | col(line).rlike(r"^\s*\d+\s*$")
+    return col(line).rlike(LEADERS) | col(line).rlike(BARE_NUMBER)
 
 
 def is_table_row(line: Column | str) -> Column:
-    return strip(col(line)).rlike(r"^\|.*\|")
+    return strip(col(line)).rlike(TABLE_ROW)
 
 
 def is_separator_row(line: Column | str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foliate.functions import text as fn
+from foliate.session import written
 
 
 def last_wins(log: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -31,9 +32,10 @@ def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     """With the 0-based place `n` of each row in a total order, in parallel.
 
     A range partitioning by the order's sort key lets each partition number its own rows; the counts of the partitions
-    before (one small row each) are added. No task sees all rows.
+    before (one small row each) are added. No task sees all rows. The sorted rows are written once, so that both sides
+    see the same partitions.
     """
-    rows = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    rows = written(df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()), "ranked")
     counts = rows.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_base"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a partition
     offsets = counts.select("_part", (before - F.col("_base")).alias("_shift"))

@@ -97,30 +97,34 @@ def unicode_recall(source: Column | str, target: Column | str) -> Column:
 # ---- running lines --------------------------------------------------------------------------------------------------
 
 
-def page_lines(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, page, line, raw, flat): the lines of pages parted by form feeds; flat has its white space squeezed."""
-    pages = texts.select(F.col(key).alias("key"), F.posexplode(F.split(F.col(text), "\f", -1)).alias("page", "body"))
-    lines = pages.select("key", "page", F.posexplode(F.split("body", "\n", -1)).alias("line", "raw"))
-    return lines.withColumn("flat", fn.squeeze(F.col("raw")))
+def _flat_pages(text: str | None) -> list[list[str]]:
+    """The lines of pages parted by form feeds, with their white space squeezed."""
+    return [[" ".join(line.split()) for line in page.split("\n")] for page in (text or "").split("\f")]
+
+
+def _running(pages: list[list[str]], min_frac: float) -> set[str]:
+    """Lines on at least min_frac of the pages, and on two."""
+    on = Counter(line for page in pages for line in set(page) if line)
+    return {line for line, n in on.items() if n >= 2 and n >= min_frac * len(pages)}
 
 
 def running_lines(texts: DataFrame, key: str, text: str, min_frac: float = 0.5) -> DataFrame:
-    """(key, flat): lines on at least min_frac of the pages, and on two."""
-    lines = page_lines(texts, key, text)
-    pages = texts.select(F.col(key).alias("key"), F.size(F.split(F.col(text), "\f", -1)).alias("n"))
-    seen = lines.where("flat != ''").groupBy("key", "flat").agg(F.countDistinct("page").alias("on"))
-    return seen.join(pages, "key").where((F.col("n") > 1) & (F.col("on") >= 2) & (F.col("on") >= min_frac * F.col("n"))).select("key", "flat").distinct()
+    """(key, flat): the running lines of every text, found where it lies: nothing is shuffled. Repeated rows give repeated lines."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(column: pd.Series) -> pd.Series:
+        return column.map(lambda t: sorted(_running(_flat_pages(t), min_frac)))
+
+    return texts.select(F.col(key).alias("key"), F.explode(run(F.col(text))).alias("flat"))
 
 
 def strip_running(text: str | None, min_frac: float = 0.5) -> str | None:
     """One text without its running lines."""
-    pages = (text or "").split("\f")
-    if len(pages) < 2:
+    flat = _flat_pages(text)
+    if len(flat) < 2:
         return text
-    flat = [[" ".join(line.split()) for line in page.split("\n")] for page in pages]
-    on = Counter(line for page in flat for line in set(page) if line)
-    drop = {line for line, n in on.items() if n >= 2 and n >= min_frac * len(pages)}
-    return "\f".join("\n".join(r for r, f in zip(page.split("\n"), form) if f not in drop) for page, form in zip(pages, flat))
+    drop = _running(flat, min_frac)
+    return "\f".join("\n".join(r for r, f in zip(page.split("\n"), form) if f not in drop) for page, form in zip(text.split("\f"), flat))
 
 
 def without_running_lines(text: Column | str, min_frac: float = 0.5) -> Column:

@@ -543,14 +543,13 @@ def link_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""with {HEADS}, c as (select a.doc_id, a.line, a.raw, exists (select 1 from nodes n where n.doc_id = a.doc_id and n.line_start <= a.line and a.line < n.line_end) as covered from a where a.raw <> '' and regexp_matches(a.raw, '[^ ]')),
- k as (select *, not covered and (regexp_matches(raw, '\\.{{4,}}\\s*\\d+\\s*$') or regexp_matches(raw, '^\\s*\\d+\\s*$') or regexp_matches(raw, '(?i)^\\s*(table of contents|contents)\\s*$')) as toc from c)
+    f"""with {HEADS}, c as (select a.doc_id, a.line, a.s, exists (select 1 from nodes n where n.doc_id = a.doc_id and n.line_start <= a.line and a.line < n.line_end) as covered from a where a.s <> ''),
+ k as (select *, not covered and (regexp_matches(s, '\\.{{4,}}\\s*\\d+$') or regexp_matches(s, '^\\d+$') or regexp_matches(s, '(?i)^(table of contents|contents)$')) as toc from c)
  select e.doc_id as key, count(k.line) as content_lines, count_if(coalesce(covered, false)) as covered_lines, count_if(coalesce(toc, false)) as toc_lines, count_if(coalesce(not covered and not toc, false)) as uncovered_lines,
    cast(list_slice(coalesce(list_sort(list(k.line) filter (where not covered and not toc)), []), 1, 5) as integer[]) as first_uncovered from e left join k on k.doc_id = e.doc_id group by 1"""
 )
 def outline_coverage(spark: SparkSession, d: str) -> DataFrame:
-    docs = bodies(spark, d)
-    return outline.outline_coverage(docs, outline.outline_nodes(docs, "doc_id", "body_md"), "doc_id", "body_md")
+    return outline.outline_coverage(bodies(spark, d), "doc_id", "body_md")
 
 
 @query()

@@ -220,7 +220,9 @@ def test_recovery(spark):
     assert [r.a.action for r in k.select(recovery.recovery_action(c("k"), c("n")).alias("a")).collect()] == ["escalate", "fallback", "fallback", "blacklist", "retry", "fallback", "retry"]
     load = spark.createDataFrame([(0, 2.0, 200.0, 2), (1, 40.0, 200.0, 8), (2, 999.0, 200.0, 1), (3, 2.0, 1.0, 2), (4, 1.0, 500.0, 8)], "i int, l double, g double, w int").orderBy("i")
     assert [r[0] for r in load.select(recovery.admission(c("l"), c("g"), c("w"), F.lit(32))).collect()] == ["grow", "shrink", "hold", "hold", "hold"]
-    assert recovery.recommended_shards(32, 256) == (8, 4) and recovery.recommended_shards(2, 1) == (1, 4)
+    hosts = spark.createDataFrame([("a", 32, 256.0), ("b", 2, 1.0), ("c", 64, 100.0), ("d", None, 500.0), ("e", 16, None)], "host string, cores int, free_gb double")
+    assert {r.host: (r.shards, r.bound) for r in recovery.shards(hosts).collect()} == {"a": (8, "cores"), "b": (1, "memory"), "c": (12, "memory"), "d": (1, "cores"), "e": (4, "cores")}
+    assert {r.host: (r.shards, r.bound) for r in recovery.shards(hosts, recovery.Limits(max_shards=3)).collect()}["a"] == (3, "setting")
 
 
 def test_dataflow(spark):
