@@ -33,24 +33,24 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_pieces(spark, d, with_text=False).where("piece_no = 1").select("structure_id", "node_path")
 
 
-def _scan_terms(spark: SparkSession, d: str) -> scans.Shipped:
+def _scan_facts(spark: SparkSession, d: str) -> scans.FactTable:
     bodies = table(spark, d, "document_md", "body_md").withColumnRenamed("body_md", "t")
     sources = table(spark, d, "coverage_record", "source_text").withColumnRenamed("source_text", "t")
-    return scans.Shipped(spark, scans.frequent_terms(bodies.unionByName(sources)))
+    return scans.FactTable(bodies.unionByName(sources))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    terms = _scan_terms(spark, d)
-    bodies = scans.scan_cases(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md", terms)
-    sources = scans.scan_cases(table(spark, d, "coverage_record", "rec_id", "source_text"), "source_text", "rec_id", "source_text", terms)
+    facts = _scan_facts(spark, d)
+    bodies = scans.scan_cases(table(spark, d, "document_md", "doc_id", "body_md"), "body_md", "doc_id", "body_md", facts)
+    sources = scans.scan_cases(table(spark, d, "coverage_record", "rec_id", "source_text"), "source_text", "rec_id", "source_text", facts)
     return bodies.unionByName(sources).distinct()
 
 
 def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
     """Both text columns as continuous paragraphs."""
-    terms = _scan_terms(spark, d)
-    bodies = scans.repaired_column(table(spark, d, "document_md", "doc_id", "body_md"), "doc_id", "body_md", terms)
-    sources = scans.repaired_column(table(spark, d, "coverage_record", "rec_id", "source_text"), "rec_id", "source_text", terms)
+    facts = _scan_facts(spark, d)
+    bodies = scans.repaired_column(table(spark, d, "document_md", "doc_id", "body_md"), "doc_id", "body_md", facts)
+    sources = scans.repaired_column(table(spark, d, "coverage_record", "rec_id", "source_text"), "rec_id", "source_text", facts)
     named = [df.select(F.lit(field).alias("field"), F.col(key).cast("string").alias("rec_key"), "repaired") for df, field, key in ((bodies, "body_md", "doc_id"), (sources, "source_text", "rec_id"))]
     return named[0].unionByName(named[1]).distinct()
 
