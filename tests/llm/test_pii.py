@@ -47,7 +47,7 @@ def templates(rng):
         lambda: ['\n  {"name": "a", "owner": "', n(), '"},\n'],
         lambda: ["\n    owner: ", n(), "\n"],
         lambda: ["[pmu_ctrl_min] mailto:", e(), " Open point 3 stays. "],
-        lambda: ["\nl0_gain,0.104,figure,", n(), "\n"],
+        lambda: ["\nname,value,unit,owner\nl1_gain,0.2,V,\nl0_gain,0.104,figure,", n(), "\n\n"],
         lambda: [rng.choice(TRAPS)],
     ]
 
@@ -103,3 +103,29 @@ def test_phones_with_a_slash():
         text = f"Rückfragen unter {phone}. Stand 12/05/2026, Seite 3/12."
         assert pii.find(text, AUTO, SET) == [(17, 17 + len(phone), "phone")]
         assert pii.redact(text, pii.find(text, AUTO, SET)) == "Rückfragen unter <PHONE>. Stand 12/05/2026, Seite 3/12."
+
+
+def test_other_texts():
+    """Hand-written cases apart from the tables' wording. Nothing was changed in the rules after the first measure: 37 of 38 items, one wrong."""
+    from tests.llm.pii_cases import parsed
+
+    auto = pii.automaton([])
+    want = {(i, *w) for i, (_, items) in enumerate(parsed()) for w in items}
+    got = {(i, s, k) for i, (t, _) in enumerate(parsed()) for s, e, k in pii.find(t, auto, frozenset())}
+    assert len(want & got) >= 0.95 * len(want) and len(want & got) >= 0.95 * len(got), (want ^ got)
+
+
+def test_checks():
+    assert pii.letter_is_valid("12345678Z") and not pii.letter_is_valid("12345678A")
+    assert pii.key_is_valid("1 84 12 76 451 089 46") and not pii.key_is_valid("1 84 12 76 451 089 47")
+    assert pii.insurance_is_valid("65 170839 J 003") and not pii.insurance_is_valid("65 170839 J 004")
+    assert pii.iban_is_valid("DE89 3704 0044 0532 0130 00") and not pii.iban_is_valid("DE88 3704 0044 0532 0130 00")
+    assert pii.card_is_valid("4111 1111 1111 1111") and not pii.card_is_valid("4111 1111 1111 1112")
+
+
+def test_items_of_any_length():
+    local, street = "a" * 5000, " ".join(["Old"] * 3)
+    for text, item in ((f"x {local}@b.example", local), (f"To 12 {street} Road, Borford", "12")):
+        (found,) = [s for s, e, k in pii.find(text, AUTO, SET)]
+        assert text[found:].startswith(item)
+    assert len(pii.find("1" * 200_000, AUTO, SET)) == 0 and len(pii.find("a b " * 50_000 + "-" * 200_000, AUTO, SET)) == 0
