@@ -12,12 +12,14 @@ Words are the runs of letters and digits of the lower-case text; a record is the
 * *Exact copies first.* Records with equal sets form a class under one 64-bit key, and only classes are banded, joined
   and checked; so a class that holds a third of all rows is one row in every bucket. A task hands on the bands of a class
   once, however many of its rows it sees. Membership is joined back at the end.
-* *Check.* Small sets travel with their candidates and are compared exactly. For larger ones a byte of each signature
-  value travels; it decides where the estimate lies more than four standard deviations from the threshold. The pairs in
-  between are compared exactly: the sets of their records, and of no others, are made again from the whole texts.
+* *Large buckets.* A bucket of more than BLOCK classes is cut into blocks, and each pair of blocks is a unit of its own,
+  so no task holds all pairs of a bucket.
+* *Check.* Every candidate is compared exactly, whatever the sizes: the whole sets are made again from the texts of one
+  record a class, and of no others (a screen of fixed size keeps the rest back). A pair is compared in the unit of its
+  most populous bucket, so a set travels once per unit and not once per pair.
 
 The signature table is written once to the shared folder; buckets, checks and membership are read from it, each with
-the columns it needs. Joins are by bucket key and class key; there is no cap on buckets or partners.
+the columns it needs. There is no cap on buckets or partners.
 
 Defined results: null ids or texts, and texts with fewer than k words, are in no pair; repeated rows count once; an id
 with several texts takes part with each; texts of any length count whole; ties don't arise, a pair of ids comes once.
@@ -30,15 +32,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliate.llm.lines import slices
+from foliate.llm.screen import passes, screen
 from foliate.session import written
 
 BODY_BANDS, PATH_BANDS = 48, 80
-SMALL = 48  # elements of a set that travels whole
+BLOCK = 64  # classes of a bucket that are compared in one unit
 SEEN = 1 << 18  # class keys a task remembers
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # multipliers of a public 64-bit mixer
 
@@ -94,8 +97,8 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return key.astype(np.uint32), np.bincount((key >> np.uint64(32)).astype(np.int64), minlength=len(texts))
 
 
-def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of every non-empty set (per band a hash of the minima and maxima of two permutations), and a byte of each of these values."""
+def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> np.ndarray:
+    """The band keys of every non-empty set: per band a hash of the minima and maxima of two permutations."""
     flip, factor = _permutations(2 * bands)
     begins = np.cumsum(counts) - counts
     low = np.empty((2 * bands, len(counts)), np.uint32)
@@ -111,8 +114,7 @@ def signatures(elements: np.ndarray, counts: np.ndarray, bands: int) -> tuple[np
         i = j
     a = (low.astype(np.uint64) << np.uint64(32)) | high
     key = mix(mix(a[0::2] + np.arange(bands, dtype=np.uint64)[:, None] * _M1) * np.uint64(3) + a[1::2])
-    sketch = (np.concatenate([low, high]) * np.uint32(2654435761)) >> np.uint32(24)
-    return key.T.view(np.int64), np.ascontiguousarray(sketch.T.astype(np.uint8))
+    return key.T.view(np.int64)
 
 
 def set_keys(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -127,11 +129,7 @@ def _lists(values: np.ndarray, ends: np.ndarray, there: np.ndarray) -> pa.ListAr
 
 
 def signature_table(df: DataFrame, id_col: str, text_col: str, k: int, bands: int) -> DataFrame:
-    """(id, set_key, bands, small, sketch) of every row with a non-empty set.
-
-    small is the set itself where it has up to SMALL elements, else sketch is a byte of each signature value. In the
-    rows of a class that a task has seen before, these and the bands are null.
-    """
+    """(id, set_key, n, bands) of every row with a non-empty set of n elements. In the rows of a class that a task has seen before, the bands are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -150,85 +148,113 @@ def signature_table(df: DataFrame, id_col: str, text_col: str, k: int, bands: in
                 if len(seen) > SEEN:
                     seen.clear()  # what is handed on twice is joined to one class later
                 seen.update(keys[fresh].tolist())
-                band, sketch = signatures(elements, counts, bands)
-                small = fresh & (counts <= SMALL)
-                large = fresh & ~small
-                inside = np.repeat(small, counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(there)),
-                        pa.array(keys),
-                        _lists(np.ascontiguousarray(band[fresh]).ravel(), np.append(0, np.cumsum(fresh * bands)), fresh),
-                        _lists(elements[inside].view(np.int32), np.append(0, np.cumsum(small * counts)), small),
-                        pa.array([row.tobytes() if use else None for row, use in zip(sketch, large)], pa.binary()),
-                    ],
-                    ["id", "set_key", "bands", "small", "sketch"],
-                )
+                use = np.repeat(fresh, counts)
+                band = signatures(elements[use], counts[fresh], bands) if fresh.any() else np.zeros((0, bands), np.int64)
+                lists = _lists(np.ascontiguousarray(band).ravel(), np.append(0, np.cumsum(fresh * bands)), fresh)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(there)), pa.array(keys), pa.array(counts.astype(np.int64)), lists], ["id", "set_key", "n", "bands"])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
-    fields = [("id", rows.schema["id"].dataType), ("set_key", T.LongType()), ("bands", T.ArrayType(T.LongType())), ("small", T.ArrayType(T.IntegerType())), ("sketch", T.BinaryType())]
+    fields = [("id", rows.schema["id"].dataType), ("set_key", T.LongType()), ("n", T.LongType()), ("bands", T.ArrayType(T.LongType()))]
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def candidate_classes(table: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of classes that share a band. One exchange by bucket serves both the joining of repeated classes and the join."""
-    buckets = table.where("bands is not null").select("set_key", F.explode("bands").alias("bucket"))
-    buckets = buckets.repartition("bucket").dropDuplicates(["bucket", "set_key"])
-    left, right = buckets.withColumnRenamed("set_key", "a"), buckets.withColumnRenamed("set_key", "b")
-    return left.join(right, "bucket").where("a < b").select("a", "b").distinct()
+def candidate_classes(table: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, unit): pairs of classes, a < b, that share a band and whose sizes allow the similarity, each with the unit of its most populous bucket.
 
+    One exchange by bucket serves the joining of repeated classes and the count of a bucket's classes. What is alone in
+    its bucket ends there. A class in a bucket of g blocks goes to g units, those of its block with each of the others.
+    """
+    rows = table.where("bands is not null").select("set_key", "n", F.explode("bands").alias("bucket"))
+    rows = rows.repartition("bucket").groupBy("bucket", "set_key").agg(F.max("n").alias("n"))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select(F.col("bucket").alias("full"), "m")
+    met = rows.join(sizes, F.col("bucket") == F.col("full")).drop("full")
+    blocks = F.ceil(F.col("m") / BLOCK)
+    met = met.withColumn("own", F.pmod(F.hash("set_key"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    met = met.select("bucket", "m", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "set_key", "n")
+    met = written(met, "neardup-units")
+    unit = ["bucket", "p", "q"]
+    left = met.where("own = p").select(*unit, "m", F.col("set_key").alias("x"), F.col("n").alias("nx"))
+    right = met.where("own = q").select(*unit, F.col("set_key").alias("y"), F.col("n").alias("ny"))
+    pairs = left.join(right, unit).where("x != y and (p != q or x < y)").where(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny"))
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.struct("m", F.xxhash64(*unit).alias("unit")).alias("u"))
+    return pairs.groupBy("a", "b").agg(F.max("u").alias("u")).select("a", "b", "u.unit")
 
-def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (4, 5))
-        same = (x == y).mean(1)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array((same - 1 / 256) / (1 - 1 / 256))], ["a", "b", "x", "y", "similarity"])
 
+def _named(id_col: str = "id") -> Column:
+    return F.concat_ws("|", F.col(id_col).cast("string"), F.col("set_key").cast("string"))
 
-def similar_classes(table: DataFrame, threshold: float, df: DataFrame, id_col: str, text_col: str, k: int, bands: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets have a Jaccard similarity of at least the threshold."""
-    margin = 4 * (threshold * (1 - threshold) / (4 * bands)) ** 0.5
-    classes = table.where("bands is not null").select("set_key", "id", "small", "sketch").dropDuplicates(["set_key"])
-    classes = written(classes, "neardup-classes")  # so that the joins' sides are plain exchanges, which may be split where one class has many pairs
-    a, b = classes.toDF("a", "x", "sa", "ka"), classes.toDF("b", "y", "sb", "kb")
-    pairs = written(candidate_classes(table).join(a, "a").join(b, "b"), "neardup-pairs")
-
-    def exact(p: DataFrame, left: str, right: str) -> DataFrame:
-        shared = F.size(F.array_intersect(left, right))
-        return p.where(shared / (F.size(left) + F.size(right) - shared) >= threshold).select("a", "b")
-
-    small = exact(pairs.where("sa is not null and sb is not null"), "sa", "sb")
-    kind = df.schema[id_col].dataType.simpleString()
-    large = pairs.where("ka is not null and kb is not null").select("a", "b", "x", "y", "ka", "kb")
-    large = large.mapInArrow(_estimates, f"a bigint, b bigint, x {kind}, y {kind}, similarity double").where(F.col("similarity") >= threshold - margin)
-    mixed = pairs.where("(sa is null) != (sb is null)").select("a", "b", "x", "y", F.lit(threshold).alias("similarity"))
-    large = written(large.unionByName(mixed), "neardup-estimates")
-    sure = large.where(F.col("similarity") > threshold + margin).select("a", "b")
-    open_ = large.where(F.col("similarity") <= threshold + margin)
-    used = open_.select(F.explode(F.array("x", "y")).alias(id_col)).distinct()
-    sets = element_table(df.join(used, id_col, "left_semi"), id_col, text_col, k)
-    sets = sets.dropDuplicates(["id", "set_key"])
-    left = sets.toDF("x", "a", "ea")
-    right = sets.toDF("y", "b", "eb")
-    checked = exact(open_.join(left, ["x", "a"]).join(right, ["y", "b"]), "ea", "eb")
-    return small.unionByName(sure).unionByName(checked)
-
-
-def element_table(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, set_key, elements): the whole sets."""
+
+def _pack(elements: np.ndarray) -> bytes:
+    """A sorted set as the bytes of its differences, highest bytes first, so that an exchange can compress them."""
+    return np.diff(elements, prepend=np.uint32(0)).astype(">u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(">u4").ravel(), dtype=np.uint32)
+
+
+def element_table(df: DataFrame, id_col: str, text_col: str, k: int, needed: DataFrame) -> DataFrame:
+    """(set_key, elements) of the classes needed(set_key, id), made from the texts of these ids; repeated rows may repeat a class."""
+    bits = screen(needed, _named())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
                 elements, counts = shingle_sets(batch.column(1).to_pylist(), k)
                 there = np.flatnonzero(counts)
-                if len(there):
-                    n = counts[there]
-                    lists = _lists(elements.view(np.int32), np.append(0, np.cumsum(n)), np.ones(len(n), bool))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(there)), pa.array(set_keys(elements, n)), lists], ["id", "set_key", "elements"])
+                if not len(there):
+                    continue
+                counts = counts[there]
+                keys = set_keys(elements, counts).tolist()
+                ends = np.cumsum(counts)
+                if len(seen) > SEEN:
+                    seen.clear()
+                out = []
+                for key, end, n, name in zip(keys, ends.tolist(), counts.tolist(), batch.column(0).take(pa.array(there)).to_pylist()):
+                    if (name, key) not in seen and passes(bits.value, f"{name}|{key}"):
+                        seen.add((name, key))
+                        out.append((name, key, _pack(elements[end - n : end])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.binary()))], ["name", "set_key", "elements"])
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, set_key bigint, elements array<int>")
+    rows = df.select(F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("t")).where("name is not null and t is not null")
+    made = rows.mapInArrow(run, "name string, set_key bigint, elements binary")
+    return made.join(needed.select("set_key", F.col("id").cast("string").alias("name")), ["set_key", "name"]).select("set_key", "elements")
+
+
+def similar_classes(table: DataFrame, threshold: float, df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Pairs (a, b) of classes whose sets have a Jaccard similarity of at least the threshold."""
+    pairs = written(candidate_classes(table, threshold), "neardup-pairs")
+    used = pairs.select("unit", F.explode(F.array("a", "b")).alias("set_key")).distinct()
+    classes = table.where("bands is not null").groupBy("set_key").agg(F.min("id").alias("id"))
+    needed = written(classes.join(used.select("set_key").distinct(), "set_key"), "neardup-needed")
+    sets = element_table(df, id_col, text_col, k, needed)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, {}
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for u, a, b, data in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                if u != unit:
+                    unit, held = u, {}
+                if b is None:
+                    held[a] = _unpack(data.as_buffer())
+                else:
+                    x, y = held[a], held[b]
+                    if len(y) < len(x):
+                        x, y = y, x
+                    at = np.searchsorted(y, x)
+                    shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                    if shared >= threshold * (len(x) + len(y) - shared):
+                        found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    rows = used.join(sets, "set_key").select("unit", F.col("set_key").alias("a"), F.lit(None).cast("bigint").alias("b"), "elements")
+    rows = rows.unionByName(pairs.select("unit", "a", "b", F.lit(None).cast("binary").alias("elements")))
+    rows = rows.repartition("unit").sortWithinPartitions("unit", F.col("b").asc_nulls_first())  # a unit's sets, then its pairs
+    return rows.mapInArrow(check, "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, k: int = 5, threshold: float = 0.8, bands: int = BODY_BANDS) -> DataFrame:
@@ -236,7 +262,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, k: int = 5, thres
     table = written(signature_table(df, id_col, text_col, k, bands), "neardup-signatures")
     members = table.select("set_key", "id").distinct()
     a, b = members.toDF("a", "x"), members.toDF("b", "y")
-    apart = similar_classes(table, threshold, df, id_col, text_col, k, bands).join(a, "a").join(b, "b").select("x", "y")
+    apart = similar_classes(table, threshold, df, id_col, text_col, k).join(a, "a").join(b, "b").select("x", "y")
     copies = members.toDF("a", "x").join(members.toDF("a", "y"), "a").where("x < y").select("x", "y")
     pairs = apart.where("x != y").unionByName(copies)
     return pairs.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b")).distinct()
@@ -252,7 +278,7 @@ def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, thre
     """
     table = written(signature_table(df, id_col, text_col, k, bands), "neardup-signatures")
     members = table.select("set_key", F.col("id").alias(id_col)).distinct()
-    links = similar_classes(table, threshold, df, id_col, text_col, k, bands)
+    links = similar_classes(table, threshold, df, id_col, text_col, k)
     links = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "neardup-links")
     labels = written(links.select(F.col("a").alias("v")).distinct().select("v", F.col("v").alias("label")), "neardup-labels")
     while True:

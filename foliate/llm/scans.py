@@ -39,7 +39,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations, product
 from math import log
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +47,7 @@ from pyspark.sql import functions as F
 
 from foliate.llm.lines import slices
 from foliate.llm.neardup import mix
+from foliate.llm.screen import Shipped, passes, screen
 from foliate.session import written
 
 USUAL_SHARE = 1e-4  # a capitalised token may be any name: without a digit or @ it is held to be a misreading of usual words only
@@ -260,36 +260,15 @@ def distance(seen: str, true: str) -> float:
     return row[n][m]
 
 
-_BITS = 1 << 26  # of the screen for forms: 8 MB, whatever the corpus; what passes it is joined all the same
-
-
-def _screen(rows: DataFrame) -> Shipped:
-    """The bits of all forms, by which forms that no word has are left out before the join."""
-    bit = F.pmod(F.crc32("form"), F.lit(_BITS)) + 1  # bitmaps count from 1
-    built = rows.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    out = np.zeros(_BITS // 8, np.uint8)  # a bitmap has 32,768 bits
-    for part, bits in built.collect():  # at most 2,048 rows
-        out[(part - 1) * 4096 : part * 4096] = np.frombuffer(bits, np.uint8)
-    return Shipped(rows.sparkSession, out.tobytes())
-
-
 def _form_rows(words: DataFrame, seen: Shipped | None) -> DataFrame:
     """(form, term, n) of words(term, n); with the screen of the words' forms, those of tokens that pass it."""
 
-    def looked_up(token: str, bits: bytes) -> list[str]:
-        out = []
-        for f in seen_forms(token):
-            at = crc32(f.encode()) % _BITS
-            if bits[at >> 3] >> (at & 7) & 1:
-                out.append(f)
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = seen.data.value if seen else b""
+        bits = seen.value if seen else b""
         for whole in batches:
             for at in range(0, whole.num_rows, 5000):
                 batch = whole.slice(at, 5000)
-                made = [looked_up(t, bits) if seen else list(forms(t, _TRUE_UNITS, 2)) for t in batch.column(0).to_pylist()]
+                made = [[f for f in seen_forms(t) if passes(bits, f)] if seen else list(forms(t, _TRUE_UNITS, 2)) for t in batch.column(0).to_pylist()]
                 index = pa.array(np.repeat(np.arange(len(made)), [len(x) for x in made]))
                 if len(index):
                     yield pa.RecordBatch.from_arrays([pa.array([f for x in made for f in x], pa.string()), batch.column(0).take(index), batch.column(1).take(index)], ["form", "term", "n"])
@@ -304,7 +283,7 @@ def candidates(terms: DataFrame) -> DataFrame:
     words = counted.where(letters & (F.col("n") >= RATIO))
     looked_up = counted.where(F.col("term").rlike(f"^[{_lower}0-9@]{{3,}}$"))
     b = written(_form_rows(words, None), "scan-forms").toDF("form", "word", "m")
-    a = _form_rows(looked_up, _screen(b))
+    a = _form_rows(looked_up, screen(b, F.col("form")))
     met = a.join(b, "form").where((F.col("m") >= RATIO * F.greatest("n", F.lit(1))) & (F.col("term") != F.col("word"))).select("term", "word", "m").distinct()
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -767,23 +746,13 @@ class Page:
 _held: dict[int, Facts] = {}
 
 
-class Shipped:
-    """The facts as a broadcast with a name that is the same in every process."""
-
-    def __init__(self, spark, value):
-        self.data = spark.sparkContext.broadcast(value)
-        self.id = self.data._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"data": self.data, "id": self.id}
-
-    def facts(self) -> Facts:
-        """The facts as dictionaries, made once a worker."""
-        if self.id not in _held:
-            total, table = self.data.value
-            _held.clear()
-            _held[self.id] = Facts(total, _rows(pa.ipc.open_stream(table).read_all()))
-        return _held[self.id]
+def _shipped_facts(shipped: Shipped) -> Facts:
+    """The facts as dictionaries, made once a worker."""
+    if shipped.id not in _held:
+        total, table = shipped.value
+        _held.clear()
+        _held[shipped.id] = Facts(total, _rows(pa.ipc.open_stream(table).read_all()))
+    return _held[shipped.id]
 
 
 def _rows(table: pa.Table | pa.StructArray) -> Iterator[tuple[str, list[tuple[float, int, str]]]]:
@@ -805,7 +774,7 @@ def _pages(df: DataFrame, table: FactTable, make, schema: str) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, 1):
                 if shipped:
-                    facts = [shipped.facts()] * batch.num_rows
+                    facts = [_shipped_facts(shipped)] * batch.num_rows
                 else:
                     facts = [Facts(total, [(x["key"], [(w["cost"], w["n"], w["word"]) for w in x["words"]]) for x in own or ()]) for own in batch.column(2).to_pylist()]
                 out = make(batch.column(0), [t and Page(t, f) for t, f in zip(batch.column(1).to_pylist(), facts)])
