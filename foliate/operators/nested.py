@@ -2,20 +2,23 @@
 
 A record is a tree of *nodes*. Each node has scalar leaves and repeated groups; one of the groups (the
 recursive one, e.g. ``children``) holds nodes again, the others (e.g. ``images``, ``links``) hold items.
-Shredding turns a batch of records into one column per path, a path being the depth of the node and the
-group. An entry of a column is (repetition level, definition level, leaf values):
+Shredding turns a batch of records into one column per path: for each depth and group one for the group itself and one
+for each of its leaves (``children.title``, ``children.children.title``, ...). An entry of a column is (repetition
+level, definition level); a leaf's column holds the values besides, only those that are defined, in order:
 
 * repetition level: the depth of the repeated group at which the entry repeats; 0 begins a record,
   a level below the column's own begins the list of the next parent, the column's own level continues a list;
 * definition level, counted within the parent, which is always defined: 0 the list is missing or empty,
-  1 the list has this slot but its element is null, 2 the element is there.
+  1 the list has this slot but its element is null, 2 the element is there; of a leaf also
+  2 the element lacks it, 3 it is null, 4 it has a value.
 
 Entries whose parent is itself undefined are elided: the parent's own column carries them. So the number of
 entries grows with the number of nodes and not with nodes times depth, whatever the nesting.
 
 A table per repeated ancestor is then rebuilt from the level sequences alone: a repetition level below the
 own one moves on to the next defined parent and starts counting at 1, the own level counts on, and the
-definition level says whether the slot gives a row. Positions count null slots.
+definition level says whether the slot gives a row. Positions count null slots. A leaf's definition level says
+whether its row takes the next value, so missing, null and present ones are told apart.
 
 Defined results for dirty input
   null record, JSON that is damaged or incomplete, a scalar document: no row;
@@ -53,15 +56,34 @@ class TreeSpec:
     leaves: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
 
+MISSING, NULL, VALUE = 2, 3, 4  # definition levels of a leaf whose element is there
+
+
+class Leaf:
+    """Definition levels and values of one leaf path; its repetition levels are those of its group."""
+
+    __slots__ = ("defs", "values")
+
+    def __init__(self):
+        self.defs: list[int] = []
+        self.values: list = []
+
+    def aligned(self) -> tuple[list[int], list]:
+        """(definition level, value or None) of every element that is there."""
+        defs = [d for d in self.defs if d >= MISSING]
+        values = iter(self.values)
+        return defs, [next(values) if d == VALUE else None for d in defs]
+
+
 class Column:
-    """Levels and leaf values of one path."""
+    """Levels of one group's path, and its leaves."""
 
-    __slots__ = ("defs", "reps", "values")
+    __slots__ = ("defs", "leaves", "reps")
 
     def __init__(self, leaves: tuple[str, ...]):
         self.reps: list[int] = []
         self.defs: list[int] = []
-        self.values: dict[str, list] = {name: [] for name in leaves}
+        self.leaves: dict[str, Leaf] = {name: Leaf() for name in leaves}
 
 
 def _no_constant(name: str):
@@ -165,7 +187,7 @@ def shred(texts: list[str | None], spec: TreeSpec) -> dict[tuple[int, str], Colu
         following_starts: list[int] = []
         for group in groups if depth else [spec.recursive]:
             column = Column(spec.leaves.get(group, ()))
-            reps, defs, values, own = column.reps, column.defs, list(column.values.items()), depth + 1
+            reps, defs, leaves, own = column.reps, column.defs, list(column.leaves.items()), depth + 1
             recursive = group == spec.recursive
             for parent, level in zip(parents, starts):
                 raw = parse_json(parent) if depth == 0 else parent.get(group)
@@ -173,6 +195,8 @@ def shred(texts: list[str | None], spec: TreeSpec) -> dict[tuple[int, str], Colu
                 if not slots:
                     reps.append(level)
                     defs.append(0)
+                    for _, leaf in leaves:
+                        leaf.defs.append(0)
                     continue
                 for element in slots:
                     reps.append(level)
@@ -180,13 +204,22 @@ def shred(texts: list[str | None], spec: TreeSpec) -> dict[tuple[int, str], Colu
                         element = _unwrap(element)
                     if type(element) is dict:
                         defs.append(2)
-                        for name, out in values:
-                            out.append(element.get(name))
+                        for name, leaf in leaves:
+                            value = element.get(name, leaf)
+                            if value is leaf:
+                                leaf.defs.append(MISSING)
+                            elif value is None:
+                                leaf.defs.append(NULL)
+                            else:
+                                leaf.defs.append(VALUE)
+                                leaf.values.append(value)
                         if recursive:
                             following.append(element)
                             following_starts.append(level)
                     else:
                         defs.append(1)
+                        for _, leaf in leaves:
+                            leaf.defs.append(1)
                     level = own
             if 2 in defs or 1 in defs or depth == 0:
                 columns[depth, group] = column
@@ -200,8 +233,8 @@ def _as_text(value) -> str | None:
     return json.dumps(value, ensure_ascii=False)
 
 
-def assemble(columns: dict[tuple[int, str], Column], spec: TreeSpec) -> Iterator[tuple[str, np.ndarray, list[str], list[str], dict[str, list]]]:
-    """Rebuild the tables from the level sequences: (item kind, record numbers, paths, parents' paths, leaves)."""
+def assemble(columns: dict[tuple[int, str], Column], spec: TreeSpec) -> Iterator[tuple[str, np.ndarray, list[str], list[str], dict[str, tuple[list[int], list]]]]:
+    """Rebuild the tables from the level sequences: (item kind, record numbers, paths, parents' paths, levels and values of the leaves)."""
     at_depth: list[str] = []
     record = np.zeros(0, np.int64)
     depth = 0
@@ -226,7 +259,7 @@ def assemble(columns: dict[tuple[int, str], Column], spec: TreeSpec) -> Iterator
                 above = [at_depth[p] for p in parent.tolist()]
                 mark = "." if group == spec.recursive else "/"
                 paths = [f"{a}{mark}{p}" for a, p in zip(above, position.tolist())]
-            yield kind, records, paths, above, column.values
+            yield kind, records, paths, above, {name: leaf.aligned() for name, leaf in column.leaves.items()}
             if group == spec.recursive:
                 nodes = records, paths
         if nodes is None or not len(nodes[0]):
@@ -240,7 +273,7 @@ def shred_tables(df: DataFrame, id_col: str, json_col: str, spec: TreeSpec | Non
 
     One pass over the rows, no shuffle: a record is shredded where it is read. Filter on item_kind for the
     table of one kind; parent_path is the key of the parent's row in the table of nodes.
-    The leaves map holds the leaves named in spec.leaves; it is left out where none is named.
+    The leaves map holds (definition level, value) of the leaves named in spec.leaves; it is left out where none is named.
     Input columns other than the two named are not read, so clashing names don't matter.
     """
     spec = spec or TreeSpec()
@@ -253,15 +286,15 @@ def shred_tables(df: DataFrame, id_col: str, json_col: str, spec: TreeSpec | Non
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
                 keys, texts = batch.column(0), batch.column(1).to_pylist()
-                for kind, records, paths, above, values in assemble(shred(texts, spec), spec):
+                for kind, records, paths, above, leaves in assemble(shred(texts, spec), spec):
                     if not paths:
                         continue
                     out = [keys.take(pa.array(records)), pa.array([kind] * len(paths)), pa.array(paths), pa.array(above)]
                     if keep:
-                        names = list(values)
-                        rows = [[(n, _as_text(v)) for n, v in zip(names, row)] for row in zip(*values.values())] if names else [[]] * len(paths)
-                        out.append(pa.array(rows, pa.map_(pa.string(), pa.string())))
+                        columns = [[(name, {"def": d, "value": _as_text(v)}) for d, v in zip(*leaf)] for name, leaf in leaves.items()]
+                        rows = list(zip(*columns)) if columns else [()] * len(paths)
+                        out.append(pa.array([list(r) for r in rows], pa.map_(pa.string(), pa.struct([("def", pa.int8()), ("value", pa.string())]))))
                     yield pa.RecordBatch.from_arrays(out, ["id", "item_kind", "item_path", "parent_path", "leaves"][: len(out)])
 
-    out = ids.mapInArrow(run, f"id {kind_type}, item_kind string, item_path string, parent_path string" + ", leaves map<string,string>" * keep)
+    out = ids.mapInArrow(run, f"id {kind_type}, item_kind string, item_path string, parent_path string" + ", leaves map<string,struct<def:tinyint,value:string>>" * keep)
     return out.withColumnRenamed("id", id_col)

@@ -17,6 +17,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("structure_id", "item_kind", "item_path", "parent_path")
 
 
+def p1_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Every section with its title and level, and whether the record lacks them, has null or a value (definition levels 2, 3, 4)."""
+    spec = nested.TreeSpec(kinds={"children": "section"}, leaves={"children": ("title", "level")})
+    rows = nested.shred_tables(table(spark, d, "structure", "structure_id", "outline"), "structure_id", "outline", spec)
+    leaf = lambda n: [F.col(f"leaves.{n}.value").alias(n), F.col(f"leaves.{n}.def").cast("int").alias(f"{n}_def")]
+    return rows.select("structure_id", "item_path", "parent_path", *leaf("title"), *leaf("level"))
+
+
 def p4_commits(spark: SparkSession, d: str) -> DataFrame:
     """Committed reports: those with a structure row of the same run, document and hashes.
 
@@ -41,7 +49,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pending.select(F.col("run_no").cast("bigint").alias("run_no"), F.col("item_key").alias("doc_id"))
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p1_sections": p1_sections, "p4_found": p4_found}
 
 _HASH = "nullif(regexp_replace(lower(trim({})), '^sha256:', ''), '')"
 
@@ -74,11 +82,17 @@ def _items(group: str, kind: str) -> str:
   from (select structure_id, item_path, unnest({items}) as e, generate_subscripts({items}, 1) as i from sections) where json_type({_element("e")}) = 'OBJECT'"""
 
 
+def _defined(leaf: str) -> str:
+    return f"case when json_extract(node, '$.{leaf}') is null then 2 when json_type(json_extract(node, '$.{leaf}')) = 'NULL' then 3 else 4 end"
+
+
 SQL = {
     "p1_found": f"""with recursive {SECTIONS}
 select structure_id, 'section' as item_kind, item_path, parent_path from sections
 union all {_items("images", "image")}
 union all {_items("links", "link")}""",
+    "p1_sections": f"""with recursive {SECTIONS}
+select structure_id, item_path, parent_path, json_extract_string(node, '$.title') as title, {_defined("title")} as title_def, json_extract_string(node, '$.level') as level, {_defined("level")} as level_def from sections""",
     "p4_found": f"""
 with p as (
   select run_no, doc_id, {_HASH.format("source_sha256")} as h,

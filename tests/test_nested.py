@@ -92,8 +92,8 @@ def test_deep_parser_agrees():
 def test_leaves_extra_columns_and_empty_table(spark):
     df = spark.createDataFrame([(1, '[{"title":"A","level":2,"images":[{"ref":"r"}]}]', "x")], "key long, doc string, item_path string")
     spec = nested.TreeSpec(leaves={"children": ("title", "level"), "images": ("ref",)})
-    rows = {(r.item_kind, r.item_path, r.parent_path): r.leaves for r in nested.shred_tables(df, "key", "doc", spec).collect()}
-    assert rows == {("section", "1", ""): {"title": "A", "level": "2"}, ("image", "1/1", "1"): {"ref": "r"}}
+    rows = {(r.item_kind, r.item_path, r.parent_path): {k: tuple(v) for k, v in r.leaves.items()} for r in nested.shred_tables(df, "key", "doc", spec).collect()}
+    assert rows == {("section", "1", ""): {"title": (4, "A"), "level": (4, "2")}, ("image", "1/1", "1"): {"ref": (4, "r")}}
     assert nested.shred_tables(df.where("key < 0"), "key", "doc").count() == 0
 
 
@@ -102,3 +102,14 @@ def test_query_against_recursion(spark, data):
     want = spark.read.parquet(f"{data}/structure.parquet").where(F.col("outline").isNotNull()).select("structure_id", "outline").collect()
     assert got == sorted((i, *row) for i, o in want for row in brute(o))
     assert got
+
+
+def test_levels_of_leaf_paths():
+    spec = nested.TreeSpec(kinds={"children": "section"}, leaves={"children": ("title",)})
+    docs = ['[{"title":"A","children":[{"title":null},null,{}]},{"children":{"title":"B"}},7]', "[]", None, '{"title":["x"]}']
+    columns = nested.shred(docs, spec)
+    top, below = columns[0, "children"], columns[1, "children"]
+    assert (top.reps, top.defs, top.leaves["title"].defs, top.leaves["title"].values) == ([0, 1, 1, 0, 0, 0], [2, 2, 1, 0, 0, 2], [4, 2, 1, 0, 0, 4], ["A", ["x"]])
+    assert (below.reps, below.defs, below.leaves["title"].defs, below.leaves["title"].values) == ([0, 2, 2, 1, 0], [2, 1, 2, 2, 0], [3, 1, 2, 4, 0], ["B"])
+    rows = [(r, p, d, v) for _, records, paths, _, leaves in nested.assemble(columns, spec) for r, p, d, v in zip(records.tolist(), paths, *leaves["title"])]
+    assert rows == [(0, "1", 4, "A"), (0, "2", 2, None), (3, "1", 4, ["x"]), (0, "1.1", 3, None), (0, "1.3", 2, None), (0, "2.1", 4, "B")]
