@@ -6,9 +6,10 @@ paragraph, another line (row, list item), a sentence, words.
 
 Cohesion at a gap is the cosine of the word counts of the blocks of about BLOCK tokens on either side of it, computed
 for all gaps of a text at once from running sums; a gap's *depth* is how far its cohesion lies below the nearest peaks
-to the left and right. A piece ends in the second half of its size window, at the most natural kind of gap that occurs
-there, and of those at the deepest valley (the later one of equals). The next piece begins about OVERLAP tokens before
-the cut, at a unit's start if one is near enough, else between words.
+to the left and right. A piece ends in the second half of its size window at the deepest valley; how natural a gap is
+weighs its depth (WEIGHT), and gaps within sentences count only where the window has no other. Of equals the more
+natural, then the later one is taken. The next piece begins about OVERLAP tokens before the cut, at a unit's start if one
+is near enough, else between words.
 
 Tokens of a line are (characters + 3) div 4, without its newline. A piece never exceeds the limit.
 
@@ -35,6 +36,7 @@ from foliate.session import written
 
 LIMIT, OVERLAP, BLOCK, MAX_UNIT = 1200, 100, 150, 120
 HEADING, PARAGRAPH, LINE, SENTENCE, WORDS = 4, 3, 2, 1, 0
+WEIGHT = (1.0, 0.9, 1.0, 1.1, 1.25)  # of a gap's depth, by kind
 KINDS = ["words", "sentence", "line", "paragraph", "heading"]
 
 _heading = re.compile(r"\s{0,3}#{1,6}\s")
@@ -146,8 +148,7 @@ class Splitter:
             else:
                 last = bisect_right(size, size[first] + room) - 1  # the farthest cut that keeps the limit
                 half = max(first + 1, min(last, bisect_right(size, size[first] + room // 2)))
-                best = max(units[g][4] for g in range(half, last + 1))
-                cut = max((g for g in range(half, last + 1) if units[g][4] == best), key=lambda g: (depth[g], g))
+                cut = max(range(half, last + 1), key=lambda g: (units[g][4] > WORDS, depth[g] * WEIGHT[units[g][4]], units[g][4], g))
             yield (*start, units[cut - 1][0], units[cut - 1][2], shared + size[cut] - size[first], kind, shared)
             if cut == end:
                 return
@@ -196,8 +197,8 @@ def section_spans(structure: DataFrame) -> DataFrame:
             for begin in range(0, whole.num_rows, 1000):
                 batch = whole.slice(begin, 1000)
                 spans: list[list] = [[] for _ in range(batch.num_rows)]
-                for _, records, paths, _, values in nested.assemble(nested.shred(batch.column(3).to_pylist(), spec), spec):
-                    for r, path, value in zip(records.tolist(), paths, values["line_span"]):
+                for _, records, paths, _, leaves in nested.assemble(nested.shred(batch.column(3).to_pylist(), spec), spec):
+                    for r, path, value in zip(records.tolist(), paths, leaves["line_span"][1]):
                         if span := _span(value):
                             spans[r].append({"path": path, "a": span[0], "b": span[1]})
                 keys = [hashlib.sha1(f"{d}\n{h}\n{s}".encode()).hexdigest() for d, h, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), spans)]

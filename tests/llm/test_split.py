@@ -51,13 +51,28 @@ def test_limits_cover_and_overlap(seed, n):
     assert end == len(body)
 
 
-def test_cuts_prefer_headings_then_paragraphs():
-    part = "\n".join(f"line {i} about the clock and its reset" for i in range(60))
-    body = part + "\n\n" + part + "\n\n## Head\n\n" + part + "\n\n" + part
-    s = split.Splitter(body)
-    pieces = list(s.pieces(0, len(s.lines)))
-    assert pieces[1][5] == "heading"
-    assert all(p[5] in ("heading", "paragraph") for p in pieces[1:])
+def test_cuts_are_at_the_deepest_weighted_valley():
+    """Every cut against a plain search of its window; where the topic changes in the middle of plain lines, the cut is there."""
+    rng = random.Random(2)
+    topics = [[f"{t}{i}" for i in range(12)] for t in ("clock", "fuse", "lane", "bridge", "packet")]
+    lines = [" ".join(rng.choices(topic, k=9)) for topic in topics for _ in range(46)]
+    s = split.Splitter("\n".join(lines))
+    pieces = list(s.pieces(0, len(lines)))
+    cuts = [p[2] + 1 for p in pieces[:-1]]
+    assert {c for c in cuts if c % 46 == 0} == {46, 92, 138, 184} & set(cuts) and sum(c % 46 == 0 for c in cuts) >= 3
+    for seed in range(20):
+        s = split.Splitter(body_of(random.Random(seed), 90))
+        first, shared = 0, 0
+        pieces = list(s.pieces(0, len(s.lines)))
+        for p, after in zip(pieces, pieces[1:]):
+            room = split.LIMIT - shared
+            window = [g for g in range(first + 1, len(s._units)) if s._size[g] - s._size[first] <= room]
+            window = [g for g in window if s._size[g] - s._size[first] > room // 2] or window[-1:]
+            natural = [g for g in window if s._units[g][4] > split.WORDS] or window
+            cut = next(g for g in window if (s._units[g - 1][0], s._units[g - 1][2]) == (p[2], p[3]))
+            worth = lambda g: s._depth[g] * split.WEIGHT[s._units[g][4]]
+            assert cut in natural and worth(cut) >= max(map(worth, natural)) - 1e-12
+            first, shared = cut, after[6]
 
 
 def test_deepest_valley_is_chosen():
