@@ -58,8 +58,9 @@ VERBS_FR = "a noté,a dit,a écrit,a demandé,a répondu,a signé,a approuvé,a
 VERBS_DE = "sagt sagte schrieb schreibt meint meinte fragt fragte bat antwortet antwortete wiederholt prüft prüfte korrigiert ruft schickt schickte unterschreibt unterschrieb bestätigt bestätigte notierte".split()
 VERBS_ES = "dijo escribió indicó señaló pidió preguntó respondió firmó aprobó confirmó revisó cree propone repetirá revisará corregirá enviará llamará firmará confirmará repite revisa corrige envía firma".split()
 ACTS = [f" {v} " for v in VERBS_EN + VERBS_FR + VERBS_DE + VERBS_ES] + [f" will {v} " for v in WILL_EN] + [f" {v}{e}" for v in VERBS_EN + VERBS_FR + VERBS_DE + VERBS_ES for e in ",:.\n"] + [f" {o}{v}{e}" for v in VERBS_FR if v.startswith("a ") for o in ("l'", "l’") for e in " ,:."]
-#: What may stand before such a subject besides the beginning of a sentence.
-_clause = ("As ", "as ", "Comme ", "comme ", "Wie ", "wie ", "Como ", "como ", "that ", "que ", "dass ", "and ", "et ", "und ", "y ", "but ")
+#: Capitalised words that may stand before such a subject, and words whose noun a capitalised phrase may be.
+_CLAUSE = frozenset("As Comme Wie Como That Que Dass And Et Und Y But Then If".split())
+_DETERMINERS = frozenset("the a an this that these those its our your their each every any some no of in on at by from with for to le la les l' un une du de des ce cette dans sur der die das den dem des ein eine einen im am el los las una del al en".split())
 #: Common given names of English, French, German and Spanish that are no words of the language otherwise.
 COMMON = """Aaron Abigail Adam Albert Alejandro Alexander Alfred Amanda Amelia Andrea Andreas Andrew Angela Anna Anne Anthony Antoine Antonio Arthur Barbara Benjamin Bernard Bettina
 Brenda Carlos Carolin Caroline Catherine Cecilia Charlotte Christian Christine Christoph Christopher Claire Clara Cristina Cynthia Daniel Danielle David Deborah Denise Dennis Diana Diego Donald
@@ -240,10 +241,11 @@ def _name_before(text: str, end: int) -> tuple[int, int] | None:
     return best
 
 
-def _begins(text: str, at: int) -> bool:
-    """Whether a sentence, a line or a clause begins at a position."""
-    before = text[max(0, at - 7) : at]
-    return not before or before[-1] == "\n" or before.rstrip(" \t")[-1:] in set(".!?;:,(\n") or before.endswith(_clause)
+def _subject(text: str, at: int) -> bool:
+    """Whether a name's form at a position can be a subject of its own: not the rest of a phrase of things ("the Clock Tree")."""
+    begins = _back(text, at, 1)
+    word = text[begins[0] : at - 1] if begins else ""
+    return not (word.lower() in _DETERMINERS or (word[:1].isupper() and word[-1:].isalnum() and word not in _CLAUSE))
 
 
 def find(text: str, auto: ahocorasick.Automaton, given: frozenset[str]) -> list[tuple[int, int, str]]:
@@ -284,7 +286,7 @@ def find(text: str, auto: ahocorasick.Automaton, given: frozenset[str]) -> list[
                     names.append(m.span())
             elif kind == "act":
                 span = _name_before(text, at)
-                if span and (_begins(text, span[0]) or _initialled.match(text, span[0], span[1])):
+                if span and (_subject(text, span[0]) or _initialled.match(text, span[0], span[1])):
                     names.append(span)
             elif kind == "given":
                 if (at and (text[at - 1].isalnum() or text[at - 1] in "_-@.+")) or text[last + 1 : last + 2].isalnum():
