@@ -10,6 +10,7 @@ errors, in Arrow batches. Damaged parts give no text and never an exception.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -612,23 +613,64 @@ def read_parts(content: bytes | None, ext: str) -> dict[str, str]:
     return out
 
 
+_mark = re.compile(r"<!-- ooxml-image:([^>]+?) -->")
+
+
+def place_pictures(markdown: str, package: zipfile.ZipFile, folder: str = "images") -> tuple[str, list[dict]]:
+    """The Markdown with a link for each picture mark, and (part, file, n, bytes) of the marked parts in order.
+
+    A file is named by the hash of its bytes, so equal pictures are one file; a mark whose part has no bytes is dropped
+    and its file is null.
+    """
+    marks = _mark.findall(markdown)
+    held = set(package.namelist())
+    pictures: dict[str, dict] = {}
+    for part in marks:
+        if part not in pictures:
+            try:
+                data = package.read(part) if part in held else b""
+            except (zipfile.BadZipFile, zlib.error, OSError, RuntimeError, NotImplementedError):
+                data = b""
+            kind = re.search(r"\.([A-Za-z0-9]+)$", part)
+            file = f"{hashlib.sha256(data).hexdigest()[:16]}.{kind[1].lower() if kind else 'bin'}" if data else None
+            pictures[part] = {"part": part, "file": file, "n": 0, "bytes": data or None}
+        pictures[part]["n"] += 1
+    link = lambda m: f"![]({folder}/{pictures[m[1]]['file']})" if pictures[m[1]]["file"] else ""
+    return _mark.sub(link, markdown), list(pictures.values())
+
+
+BLANK = {"markdown": "", "source_text": "", "repr_chars": 0, "properties": {}, "error": "", "pictures": []}
+
+
 def convert_package(content: bytes | None, ext: str, images: bool = True) -> dict:
-    """markdown, source_text, chars, properties and error of one package; an empty file is a success with a stub."""
-    blank = {"markdown": "", "source_text": "", "repr_chars": 0, "properties": {}, "error": ""}
+    """markdown, source_text, chars, properties, error and pictures of one package; an empty file is a success with a stub."""
+    blank = BLANK
     if not content:
         return blank | {"markdown": "*(empty source file)*\n", "error": "empty-source-file"}
-    if open_package(content) is None:
+    package = open_package(content)
+    if package is None:
         return blank | {"error": "unreadable-zip"}
     parts = read_parts(content, ext)
     broken = next((n for n in sorted(parts) if re.fullmatch(CONTENT, n) and parse(parts[n]) is None), None)
     made = blank | {"repr_chars": sum(map(len, parts.values())), "properties": core_properties(parts)}
     if broken:
         return made | {"error": f"malformed-content-part:{broken}"}
-    made |= {"markdown": markdown_of(ext, parts, images), "source_text": source_text_of(ext, parts)}
+    markdown, pictures = place_pictures(markdown_of(ext, parts, images), package)
+    made |= {"markdown": markdown, "source_text": source_text_of(ext, parts), "pictures": pictures}
     return made if made["markdown"].strip() else made | {"error": "empty-conversion"}
 
 
-CONVERTED = T.StructType([T.StructField("markdown", T.StringType()), T.StructField("source_text", T.StringType()), T.StructField("repr_chars", T.LongType()), T.StructField("properties", T.MapType(T.StringType(), T.StringType())), T.StructField("error", T.StringType())])
+PICTURE = T.StructType([T.StructField("part", T.StringType()), T.StructField("file", T.StringType()), T.StructField("n", T.LongType()), T.StructField("bytes", T.BinaryType())])
+CONVERTED = T.StructType(
+    [
+        T.StructField("markdown", T.StringType()),
+        T.StructField("source_text", T.StringType()),
+        T.StructField("repr_chars", T.LongType()),
+        T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("error", T.StringType()),
+        T.StructField("pictures", T.ArrayType(PICTURE)),
+    ]
+)
 
 
 @F.pandas_udf(CONVERTED)

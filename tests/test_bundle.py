@@ -126,3 +126,75 @@ def test_settings(tmp_path):
     assert (s.min_recall, s.max_shards, s.enable_captions, s.accept_formats, s.vlm_max_tokens, s.source_docs) == (0.7, 0, True, ("docx", "pdf"), 8192, "/s")
     with pytest.raises(ValueError):
         config.load({"FOLIATE_BACKEND": "other"})
+
+
+PNG = b"\x89PNG\r\n\x1a\n" + b"\x00\x00\x00\rIHDR" + (1).to_bytes(4, "big") * 2
+REL = '<Relationship Id="{0}" Type="x/image" Target="media/{1}"/>'
+
+
+def pictured(targets, media, text="Some words about a figure"):
+    body = p("First heading", '<w:outlineLvl w:val="0"/>') + p(text) + "".join(f'<w:p><a:blip r:embed="i{n}"/></w:p>' for n in range(len(targets)))
+    rels = "<Relationships>" + "".join(REL.format(f"i{n}", t) for n, t in enumerate(targets)) + "</Relationships>"
+    return zipped(doc(body) | {"word/_rels/document.xml.rels": rels} | {f"word/media/{k}": v for k, v in media.items()})
+
+
+def bundle_of(out, row):
+    folder = Path(out) / row.doc_id
+    report, structure = (json.loads((folder / n).read_text()) for n in ("report.json", "structure.json"))
+    files_ = {f.name: f.read_bytes() for f in (folder / "images").iterdir()} if (folder / "images").exists() else {}
+    return report, structure, (folder / "document.md").read_text(), files_
+
+
+def test_pictures_in_bundles(spark, tmp_path):
+    import hashlib
+    import re
+
+    root, out = tmp_path / "s", str(tmp_path / "o")
+    root.mkdir()
+    (root / "two.docx").write_bytes(pictured(["a.png", "b.gif"], {"a.png": PNG, "b.gif": b"GIF89a...."}))
+    (root / "twice.docx").write_bytes(pictured(["a.png", "a.png", "same.png"], {"a.png": PNG, "same.png": PNG}))
+    (root / "gap.docx").write_bytes(pictured(["a.png", "ghost.png"], {"a.png": PNG}))
+    rows = {r.source_relpath: r for r in bundle.run_tree(spark, str(root), out, run="r1").collect()}
+    assert {k: r.status for k, r in rows.items()} == {"two.docx": "ok", "twice.docx": "ok", "gap.docx": "degraded"}
+    for name, referenced, unique, missing in (("two.docx", 2, 2, 0), ("twice.docx", 3, 1, 0), ("gap.docx", 1, 1, 1)):
+        report, structure, text, stored = bundle_of(out, rows[name])
+        block = report["images"]
+        assert (block["referenced"], block["unique_files"], block["missing"], block["verified"], block["orphans"]) == (referenced, unique, missing, unique, 0)
+        assert block["gate"] == ("degraded" if missing else "pass") and report["losslessness"]["gate"] == "pass" and "ooxml-image" not in text
+        assert set(re.findall(r"\(images/([^)]+)\)", text)) == set(stored) == {hashlib.sha256(b).hexdigest()[:16] + "." + f.split(".")[1] for f, b in stored.items()}
+        entries = list(bundle.pictures_in(structure["outline"]))
+        assert len(entries) == referenced and all(e["caption"] is None for e in entries)
+        assert report["captions"] == bundle.caption_block(False, unique, 0) and any(w["code"] == "image_bytes_missing" for w in report["warnings"]) == bool(missing)
+
+    # a rebuild removes what is no longer shown and carries captions of what stays
+    at = Path(out) / rows["two.docx"].doc_id
+    structure = json.loads((at / "structure.json").read_text())
+    for e in bundle.pictures_in(structure["outline"]):
+        e["caption"] = f"about {e['image_id']}"
+    (at / "structure.json").write_text(json.dumps(structure))
+    (root / "two.docx").write_bytes(pictured(["a.png"], {"a.png": PNG}))
+    (again,) = [r for r in bundle.run_tree(spark, str(root), out, run="r2", force=True).collect() if r.source_relpath == "two.docx"]
+    report, structure, _, stored = bundle_of(out, again)
+    (entry,) = bundle.pictures_in(structure["outline"])
+    assert entry["caption"] == f"about {entry['image_id']}" and len(stored) == 1 and report["captions"]["captioned"] == 1
+    assert [w["code"] for w in report["warnings"]] == ["orphan_images_removed"]
+
+
+def test_gates_of_blocks_are_those_of_columns(spark):
+    from itertools import product
+
+    from foliate.operators import validation
+
+    cases = list(product((0, 1, 2), repeat=3))
+    rows = spark.createDataFrame([(r, m, o) for r, m, o in cases], "r int, m int, o int")
+    c, lit = F.col, F.lit
+    got = {(x.r, x.m, x.o): x.g for x in rows.select("*", validation.image_gate(c("r"), lit(2) - c("m"), lit(1), c("m"), c("o"), lit(1)).alias("g")).collect()}
+    assert got == {(r, m, o): bundle.picture_block(r, 2 - m, 1, m, o, 1)["gate"] for r, m, o in cases}
+    for enabled in (True, False):
+        got = {(x.r, x.m, x.o): x.g for x in rows.select("*", validation.caption_gate(lit(enabled), lit(4), c("r"), c("m"), lit(0), lit(4) - c("r") - c("m")).alias("g")).collect()}
+        assert got == {(r, m, o): bundle.caption_block(enabled, 4, r, m)["gate"] for r, m, o in cases}
+
+
+def test_one_scan(spark, tree):
+    plan = bundle.convert(files.scan_tree(spark, str(tree)).where("accepted"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") == 1
