@@ -198,3 +198,67 @@ def test_gates_of_blocks_are_those_of_columns(spark):
 def test_one_scan(spark, tree):
     plan = bundle.convert(files.scan_tree(spark, str(tree)).where("accepted"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan binaryFile") == 1
+
+
+class Describer:
+    """Knows one picture only; the other can't be had."""
+
+    def caption(self, image, prompt):
+        if image != PNG:
+            raise OSError
+        assert "Some words about a figure" in prompt and "First heading" in prompt
+        return "A block diagram of the clock tree with two lanes.", "stop", True
+
+
+class Both(Describer):
+    def caption(self, image, prompt):
+        return ("A small company logo in the corner.", "stop", True) if image != PNG else super().caption(image, prompt)
+
+
+class Never:
+    def caption(self, image, prompt):
+        raise AssertionError("nothing is left to ask")
+
+
+def test_captions_of_bundles(spark, tmp_path):
+    root, out = tmp_path / "s", str(tmp_path / "o")
+    root.mkdir()
+    (root / "two.docx").write_bytes(pictured(["a.png", "b.gif"], {"a.png": PNG, "b.gif": b"GIF89a...."}))
+    (row,) = bundle.run_tree(spark, str(root), out).collect()
+    before = bundle_of(out, row)
+    for factory, want in ((Describer, (2, 1, 0, 0, 1, "incomplete")), (Both, (2, 1, 1, 0, 0, "complete")), (Never, (2, 1, 1, 0, 0, "complete"))):
+        (got,) = captions.caption_bundles(spark, out, factory, "m", "Describe the figure.").collect()
+        assert tuple(got)[1:] == want
+    report, structure, text, stored = bundle_of(out, row)
+    assert sorted(e["caption"] or "" for e in bundle.pictures_in(structure["outline"])) == ["", "A block diagram of the clock tree with two lanes."]
+    assert text == before[2] and stored == before[3] and report["captions"]["model"] == "m" and {k: v for k, v in report.items() if k != "captions"} == {k: v for k, v in before[0].items() if k != "captions"}
+
+
+def test_chat_service():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Service(BaseHTTPRequestHandler):
+        def _send(self, value):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps(value).encode())
+
+        def do_GET(self):
+            self._send({"data": [{"id": "m"}]})
+
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            assert asked["messages"][0]["content"][1]["image_url"]["url"].startswith("data:image/gif;base64,")
+            self._send({"choices": [{"message": {"content": "", "reasoning_content": " a chart "}, "finish_reason": "length"}]})
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    client = captions.ChatCaptioner(f"http://127.0.0.1:{server.server_port}", "m", seconds=5)
+    assert client.healthy() and not captions.ChatCaptioner(client.url, "other", seconds=5).healthy()
+    assert client.caption(b"GIF89a", "p") == ("a chart", "length", True) and captions.reply_of({}) == ("", "", False)
+    server.shutdown()
+    assert not captions.ChatCaptioner("http://127.0.0.1:9", "m", seconds=1).healthy()
