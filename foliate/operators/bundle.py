@@ -294,3 +294,41 @@ def carry_captions(new: DataFrame, old: DataFrame) -> DataFrame:
     """Pictures with the captions they had: the new one, else the old."""
     kept = old.where("caption is not null").groupBy("doc_id", "image_id").agg(F.max("caption").alias("old"))
     return new.join(kept, ["doc_id", "image_id"], "left").withColumn("caption", F.coalesce("caption", "old")).drop("old")
+
+
+def scan(spark: SparkSession, out: str) -> DataFrame:
+    """(doc_id, report, structure, document, images) of the bundles below a folder: the texts, and (name, sha256) of the pictures."""
+    root = out.rstrip("/")
+    at = F.split("path", "/")
+    texts = spark.read.format("binaryFile").load(f"{root}/*/{{report.json,structure.json,document.md}}").select(F.element_at(at, -2).alias("doc_id"), F.element_at(at, -1).alias("name"), F.decode("content", "UTF-8").alias("t"))
+    one = lambda n, to: F.max(F.when(F.col("name") == n, F.col("t"))).alias(to)
+    rows = texts.groupBy("doc_id").agg(one("report.json", "report"), one("structure.json", "structure"), one("document.md", "document"))
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(F.col("path").rlike("/images/[^/]+$")).select(F.element_at(at, -3).alias("doc_id"), F.struct(F.element_at(at, -1).alias("name"), F.sha2("content", 256).alias("sha256")).alias("i"))
+    return rows.join(stored.groupBy("doc_id").agg(F.array_sort(F.collect_list("i")).alias("images")), "doc_id", "left").withColumn("images", F.coalesce("images", F.array().cast("array<struct<name:string,sha256:string>>")))
+
+
+def audit(bundles: DataFrame) -> DataFrame:
+    """(doc_id, problems): what doesn't hold in scanned bundles; converts nothing and changes nothing.
+
+    Checked are: a report; unless it failed, the document and the structure; one hash of the body in all three; the
+    structure of the Markdown; that the pictures shown are those stored, and their bytes those of their names.
+    """
+    value = lambda c, name: F.get_json_object(c, f"$.{name}")
+    body = F.regexp_replace(fn.strip_front_matter("document"), r"^\n", "")
+    sha, shown = F.sha2(body, 256), F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(r"!\[[^\]]*\]\(images/([^)\s]+)\)"), F.lit(1))))
+    failed = value("report", "status") == "failed"
+    stored = F.transform("images", lambda i: i["name"])
+    errors = F.size(F.filter(validation.validate_markdown(F.coalesce(body, F.lit(""))), lambda i: i["severity"] == "error"))
+    checks = [
+        (F.col("report").isNull(), "no-report"),
+        (~failed & (F.col("document").isNull() | F.col("structure").isNull()), "incomplete"),
+        (~failed & (sha != value("report", "markdown_sha256")), "report-hash"),
+        (~failed & (sha != value("structure", "markdown_sha256")), "structure-hash"),
+        (~failed & (sha != F.regexp_extract("document", '(?m)^markdown_sha256: "([0-9a-f]{64})"$', 1)), "document-hash"),
+        (~failed & (F.size(F.array_except(shown, stored)) > 0), "missing-picture"),
+        (~failed & (F.size(F.array_except(stored, shown)) > 0), "orphan-picture"),
+        (F.exists("images", lambda i: F.substring(i["sha256"], 1, 16) != F.substring_index(i["name"], ".", 1)), "picture-bytes"),
+        (~failed & F.col("document").isNotNull() & (value("report", "lane") == "ooxml") & (errors > 0), "structural-error"),
+    ]
+    found = F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in checks]))
+    return bundles.select("doc_id", found.alias("problems")).where(F.size("problems") > 0)

@@ -70,3 +70,17 @@ def select_source(native: DataFrame, markdown: DataFrame, key: str, backend: str
     rows = native.select(key, F.col("text").alias("native")).join(markdown.select(key, F.col("text").alias("md")), key, "left")
     use = F.lit(backend == "docling") & (F.length(fn.strip(F.coalesce("md", F.lit("")))) >= least)
     return rows.select(key, F.when(use, F.col("md")).otherwise(F.coalesce("native", F.lit(""))).alias("text"), F.when(use, "markdown").otherwise("native").alias("origin"))
+
+
+def same_content(a: DataFrame, b: DataFrame, key: str, digest: str) -> DataFrame:
+    """(key, verdict): whether two runs gave the same content: same, changed, first-only or second-only."""
+    rows = a.select(key, F.col(digest).alias("x")).join(b.select(key, F.col(digest).alias("y"), F.lit(True).alias("there")), key, "full").withColumn("there", F.coalesce("there", F.lit(False)))
+    verdict = F.when(~F.col("there"), "first-only").when(F.col("x").isNull(), "second-only").when(F.col("x") == F.col("y"), "same").otherwise("changed")
+    return rows.select(key, verdict.alias("verdict"))
+
+
+def progress(plan: DataFrame, done: DataFrame, given_up: DataFrame, key: str, by: str) -> DataFrame:
+    """(by, planned, done, given_up, left): how far a run has come, without running anything."""
+    rows = plan.select(key, by).distinct().join(done.select(key, F.lit(1).alias("d")).distinct(), key, "left").join(given_up.select(key, F.lit(1).alias("g")).distinct(), key, "left")
+    is_done, is_gone = F.col("d").isNotNull(), F.col("d").isNull() & F.col("g").isNotNull()
+    return rows.groupBy(by).agg(F.count("*").alias("planned"), F.count_if(is_done).alias("done"), F.count_if(is_gone).alias("given_up"), F.count_if(~is_done & ~is_gone).alias("left"))

@@ -805,3 +805,64 @@ def recovery_actions(spark: SparkSession, d: str) -> DataFrame:
 def admissions(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events", "event_id").selectExpr("event_id", "cast(event_id % 50 as double) as load", "cast(event_id % 97 as double) as free", "cast(event_id % 10 as int) as w")
     return rows.select("event_id", recovery.admission(F.col("load"), F.col("free"), F.col("w"), F.lit(32)).alias("action"), recovery.watchdog(F.col("free"), F.col("load"), 30, 20).alias("verdict"))
+
+
+# ---- recovery rounds ------------------------------------------------------------------------------------------------
+
+_LAYERS = "select id as doc_id, ext, source_text from (select *, row_number() over (partition by id order by ts desc, rec_id desc) as k from coverage_record where id is not null) where k = 1"
+
+
+def _trial(left: DataFrame) -> DataFrame:
+    """A converter that fails as the last digit of a document's id and the number of attempts say."""
+    digit, n = F.substring("doc_id", 16, 1), F.col("attempts")
+    oom = ((digit == "0") & (n == 0)) | (digit == "1")
+    hang = (digit == "6") & (n == 0)
+    transient = ((digit == "3") & (n < 2)) | (digit == "4") | ((digit == "6") & (n == 1)) | ((digit == "7") & (n == 0))
+    bad = (digit == "2") | oom | hang | transient
+    log = F.when(oom, "loading\nMemoryError").when(digit == "2", "page 1\nnot a PDF").when(digit == "7", "[hb 3] password-protected-notes.pdf\nconnection reset")
+    return left.select(
+        "doc_id", F.when(~bad & (digit != "5"), F.concat(F.lit("# "), "doc_id")).alias("body"), F.when(bad, 1).otherwise(0).alias("returncode"), hang.alias("watchdog"), log.alias("log"),
+        F.when(digit == "5", "FAILURE").otherwise("SUCCESS").alias("status"),
+    )
+
+
+@query(
+    f"""with l as ({_LAYERS}), d as (select *, substr(doc_id, 16, 1) as x, ext in ('pdf', 'html', 'htm', 'md') and length({sql_strip("coalesce(source_text, '')")}) > 0 as layer from l),
+ e as (select doc_id, case when x in ('1', '4', '5') then 'fallback' when x = '2' then 'blacklist' else 'converted' end as plan, case x when '0' then 1 when '1' then 1 when '3' then 2 when '4' then 2 when '6' then 2 when '7' then 1 else 0 end as attempts, layer from d)
+ select doc_id, case when plan = 'fallback' and not layer then 'blacklist' else plan end as outcome, cast(attempts as integer) as attempts, plan = 'converted' or (plan = 'fallback' and layer) as has_body from e"""
+)
+def recovery_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Retries, escalations, fallbacks and what is given up, over all documents with a record."""
+    docs = latest(spark, d, "ext", "source_text").select(F.col("id").alias("doc_id"), "ext", "source_text")
+    made = recovery.recover(docs, _trial, lambda rows: rows.select("doc_id", recovery.fallback_body("ext", "source_text").alias("body")))
+    return made.select("doc_id", "outcome", F.col("attempts").cast("int").alias("attempts"), (F.coalesce(F.length("body"), F.lit(0)) > 0).alias("has_body"))
+
+
+@query(
+    """with a as (select doc_id, markdown_sha256 as x from (select *, row_number() over (partition by doc_id order by appended_at desc, manifest_id desc) as k from manifest where doc_id is not null) where k = 1),
+ b as (select doc_id, sha256(any_value(body_md)) as y from document_md where doc_id is not null group by 1)
+ select coalesce(a.doc_id, b.doc_id) as doc_id, case when b.doc_id is null then 'first-only' when x is null then 'second-only' when x = y then 'same' else 'changed' end as verdict from a full join b on a.doc_id = b.doc_id"""
+)
+def same_content(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest's last hashes against those of the bodies."""
+    rows = bodies(spark, d).where("doc_id is not null").select("doc_id", F.sha2("body_md", 256).alias("markdown_sha256"))
+    return dataflow.same_content(manifest_last_wins(spark, d), rows, "doc_id", "markdown_sha256")
+
+
+@query(
+    """with p as (select distinct doc_id, lane from plan where doc_id is not null), o as (select distinct doc_id from report where lower(trim(status)) in ('ok', 'degraded')), g as (select distinct doc_id from manifest where status = 'failed')
+ select lane, count(*) as planned, count_if(o.doc_id is not null) as done, count_if(o.doc_id is null and g.doc_id is not null) as given_up, count_if(o.doc_id is null and g.doc_id is null) as left from p left join o using (doc_id) left join g using (doc_id) group by 1""".replace(" as left", ' as "left"').replace("count_if(", "count(*) filter (where ")
+)
+def progress(spark: SparkSession, d: str) -> DataFrame:
+    done = table(spark, d, "report", "doc_id", "status").where(F.lower(F.trim("status")).isin("ok", "degraded"))
+    gone = table(spark, d, "manifest", "doc_id", "status").where("status = 'failed'")
+    return dataflow.progress(table(spark, d, "plan", "doc_id", "lane").where("doc_id is not null"), done, gone, "doc_id", "lane")
+
+
+@query(
+    """with v as (select value as log from (values ('a' || chr(10) || '[hb 2] damaged.pdf' || chr(10) || 'end'), ('  CONVERT encrypted.pdf' || chr(13) || chr(10) || 'ok'), (''), (null)) t(value)), r as (select r_regionkey from region)
+ select r_regionkey, case r_regionkey % 4 when 0 then 'a' || chr(10) || 'end' when 1 then 'ok' else '' end as tail from r"""
+)
+def log_tails(spark: SparkSession, d: str) -> DataFrame:
+    log = F.element_at(F.array(F.lit("a\n[hb 2] damaged.pdf\nend"), F.lit("  CONVERT encrypted.pdf\r\nok"), F.lit(""), F.lit(None)), (F.col("r_regionkey") % 4 + 1).cast("int"))
+    return table(spark, d, "region", "r_regionkey").select("r_regionkey", recovery.clean_tail(log).alias("tail"))

@@ -262,3 +262,22 @@ def test_chat_service():
     assert client.caption(b"GIF89a", "p") == ("a chart", "length", True) and captions.reply_of({}) == ("", "", False)
     server.shutdown()
     assert not captions.ChatCaptioner("http://127.0.0.1:9", "m", seconds=1).healthy()
+
+
+def test_scan_and_audit(spark, tmp_path):
+    root, out = tmp_path / "s", str(tmp_path / "o")
+    root.mkdir()
+    (root / "two.docx").write_bytes(pictured(["a.png", "b.gif"], {"a.png": PNG, "b.gif": b"GIF89a...."}))
+    (root / "note.md").write_text("# Head\n\nSome words.\n")
+    (root / "bad.docx").write_bytes(b"junk")
+    ids = {r.source_relpath: r.doc_id for r in bundle.run_tree(spark, str(root), out).collect()}
+    assert bundle.scan(spark, out).count() == 3 and bundle.audit(bundle.scan(spark, out)).count() == 0
+    two, note = Path(out) / ids["two.docx"], Path(out) / ids["note.md"]
+    first, second = sorted((two / "images").iterdir())
+    first.write_bytes(b"other")
+    second.rename(second.with_name("0123456789abcdef.gif"))
+    (note / "document.md").write_text((note / "document.md").read_text() + "more\n")
+    got = {r.doc_id: set(r.problems) for r in bundle.audit(bundle.scan(spark, out)).collect()}
+    assert got == {ids["two.docx"]: {"picture-bytes", "missing-picture", "orphan-picture"}, ids["note.md"]: {"report-hash", "structure-hash", "document-hash"}}
+    (note / "structure.json").unlink()
+    assert "incomplete" in bundle.audit(bundle.scan(spark, out)).where(F.col("doc_id") == ids["note.md"]).collect()[0].problems

@@ -253,3 +253,27 @@ def test_content_metrics_against_a_plain_walk(spark, docs):
             prose.append("" if mark or fenced else line)
         tables = sum(a.startswith("|") and b == "|---|" for a, b in zip(prose, prose[1:]))
         assert got[i] == (prose.count("# A"), tables, prose.count("![i](j)"), prose.count("text [a](b)"), prose.count("- item"), marks // 2), d
+
+
+def test_recovery_rounds(spark):
+    tried = []
+
+    def attempt(left):
+        rows = left.collect()
+        tried.append(sorted((r.doc_id, r.attempts, r.threads, r.mem_gb) for r in rows))
+        out = []
+        for r in rows:
+            fails = {"oom": r.mem_gb < 20, "never": True, "flaky": r.attempts < 2, "input": True, "odd": True}.get(r.doc_id, False)
+            log = {"oom": "Killed process 3", "input": "x\nnot a PDF", "never": "[validate] MemoryError"}.get(r.doc_id, "")
+            out.append((r.doc_id, None if fails else "# ok", int(fails), False, log, "SUCCESS"))
+        return spark.createDataFrame(out, "doc_id string, " + recovery.ATTEMPT)
+
+    docs = spark.createDataFrame([("fine", "pdf", "x"), ("oom", "pdf", "x"), ("never", "pdf", "layer text"), ("flaky", "md", "x"), ("input", "pdf", "x"), ("odd", "docx", "x"), ("fine", "pdf", "x")], "doc_id string, ext string, raw string")
+    got = recovery.recover(docs, attempt, lambda rows: rows.select("doc_id", recovery.fallback_body("ext", "raw").alias("body")))
+    rows = {r.doc_id: (r.outcome, r.attempts, r.body) for r in got.collect()}
+    assert got.count() == 6 and rows == {
+        "fine": ("converted", 0, "# ok"), "oom": ("converted", 1, "# ok"), "never": ("fallback", 2, "layer text"), "flaky": ("converted", 2, "# ok"), "input": ("blacklist", 0, None), "odd": ("blacklist", 2, None),
+    }
+    assert tried[1] == [("flaky", 1, 4, 8.0), ("never", 1, 4, 8.0), ("odd", 1, 4, 8.0), ("oom", 1, 4, 24.0)] and len(tried) == 3
+    begun, ended = (spark.createDataFrame([(x,) for x in ids], "doc_id string") for ids in (["a", "b", "b", None], ["a"]))
+    assert [r.doc_id for r in recovery.crashed(begun, ended).collect()] == ["b"]
