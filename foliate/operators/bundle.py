@@ -29,42 +29,39 @@ from foliate.sources import files, html, office
 CONVERTER = "foliate/0.1.0"
 
 
+PAGES = ("html", "htm")
+
+
 def convert(tree: DataFrame) -> DataFrame:
     """(…, markdown, source_text, repr_chars, properties, error, pictures) of every accepted file of a scanned tree.
 
-    One scan: each file is read once and handed to the converter of its lane; the others get nothing of it. Pictures
-    that office documents show come along with their bytes; the content itself goes no further.
+    One scan and one pass: each file is read once and handed to the converter of its lane. Pictures that office documents
+    show come along with their bytes; the content itself goes no further.
     """
     plugged = dict(html.LAYOUT)
 
+    def one(content: bytes | None, ext: str, lane: str) -> dict:
+        if lane == "ooxml":
+            return office.convert_package(content, ext)
+        if lane in ("passthrough", "fence") or ext in PAGES:
+            text = bytes(content or b"").decode("utf-8", "replace")
+            return office.BLANK | {"markdown": html.page_markdown(text) if ext in PAGES else text, "source_text": text}
+        if ext not in plugged:
+            return office.BLANK | {"error": "libreoffice-unavailable" if ext != "pdf" else "converter-unavailable"}
+        try:
+            return office.BLANK | plugged[ext](bytes(content))
+        except Exception as problem:  # a document's failure is its own
+            return office.BLANK | {"error": f"conversion-failed:{type(problem).__name__}"}
+
     @F.pandas_udf(office.CONVERTED)
-    def layout(content: pd.Series, ext: pd.Series) -> pd.DataFrame:
-        rows = []
-        for c, e in zip(content, ext):
-            if c is None:
-                rows.append(office.BLANK)
-            elif e not in plugged:
-                rows.append(office.BLANK | {"error": "libreoffice-unavailable" if e != "pdf" else "converter-unavailable"})
-            else:
-                try:
-                    rows.append(office.BLANK | plugged[e](bytes(c)))
-                except Exception as problem:  # a document's failure is its own
-                    rows.append(office.BLANK | {"error": f"conversion-failed:{type(problem).__name__}"})
-        return pd.DataFrame(rows, columns=[f.name for f in office.CONVERTED])
-
-    is_office, is_page = F.col("lane") == "ooxml", (F.col("lane") == "docling") & F.col("ext").isin("html", "htm")
-    is_text = F.col("lane").isin("passthrough", "fence")
-    part = lambda of: F.when(of, F.col("content"))
-    made = tree.where(is_office | is_page | is_text | (F.col("lane") == "libreoffice") | (F.col("ext") == "pdf")).select(
-        "rel", "doc_id", "ext", "lane", F.sha2("content", 256).alias("source_sha256"), office.convert_office(part(is_office), "ext").alias("o"), files.decode_text(part(is_page | is_text)).alias("t"), layout(part(~(is_office | is_page | is_text)), "ext").alias("y")
-    )
-    own = F.when(is_office, F.col("o")).when(is_page | is_text, F.lit(None).cast(office.CONVERTED)).otherwise(F.col("y"))
-    markdown = F.when(is_page, html.html_markdown(F.when(is_page, F.col("t")).otherwise(""))).when(F.col("lane") == "fence", fn.fence("t", F.col("ext"))).when(is_text, F.col("t")).otherwise(own["markdown"])
-    source = F.when(is_page, fn.visible_text(F.when(is_page, F.col("t")).otherwise(""))).when(is_text, F.col("t")).otherwise(own["source_text"])
-    return made.select(
-        "rel", "doc_id", "ext", "lane", "source_sha256", markdown.alias("markdown"), source.alias("source_text"), F.coalesce(own["repr_chars"], F.lit(0)).alias("repr_chars"),
-        own["properties"].alias("properties"), F.coalesce(own["error"], F.lit("")).alias("error"), F.coalesce(own["pictures"], F.array().cast(T.ArrayType(office.PICTURE))).alias("pictures"),
-    )
+    def by_lane(content: pd.Series, ext: pd.Series, lane: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(*row) for row in zip(content, ext, lane)], columns=[f.name for f in office.CONVERTED])
+
+    rows = tree.where(F.col("lane") != fn.UNSUPPORTED).select("rel", "doc_id", "ext", "lane", F.sha2("content", 256).alias("source_sha256"), by_lane("content", "ext", "lane").alias("c"))
+    rows = rows.select("rel", "doc_id", "ext", "lane", "source_sha256", "c.*")
+    page, fenced = F.col("ext").isin(*PAGES), F.col("lane") == "fence"
+    seen = fn.visible_text(F.when(page, F.col("source_text")).otherwise(""))
+    return rows.withColumns({"source_text": F.when(page, seen).otherwise(F.col("source_text")), "markdown": F.when(fenced, fn.fence("markdown", F.col("ext"))).otherwise(F.col("markdown"))})
 
 
 def grade(source_text: str, body: str, lane: str, error: str) -> dict:
