@@ -509,12 +509,6 @@ def line_kinds(spark: SparkSession, d: str) -> DataFrame:
     return lines.groupBy(F.col("key").alias("doc_id")).agg(n(fn.is_toc_line("raw")).alias("toc"), n(fn.is_table_row("raw")).alias("table_rows"), n(fn.is_separator_row("raw")).alias("rules"))
 
 
-@query()
-def outline_nodes(spark: SparkSession, d: str) -> DataFrame:
-    nodes = outline.outline_nodes(bodies(spark, d), "doc_id", "body_md")
-    return nodes.select(F.col("key").alias("doc_id"), "id", "parent", "level", "title", "anchor", "line_start", "line_end", "self_tokens", "subtree_tokens", "tables", F.size("images").alias("n_images"), F.size("links").alias("n_links"))
-
-
 HEADS = f"""l as ({LINES}), a as (select *, {_S} as s, (len(raw) + 3) // 4 as tokens from l),
  b as (select *, regexp_extract(s, '^(\\d+(?:\\.\\d+){{0,3}})\\.?\\s+[A-Za-z]', 1) as num, len(regexp_replace(s, '[^\\p{{L}}]+', '', 'g')) as letters, len(regexp_replace(s, '[^\\p{{Lu}}]+', '', 'g')) as capitals, len(string_split(regexp_replace(s, '{WS}+', ' ', 'g'), ' ')) as words,
    coalesce(sum(tokens) over (partition by doc_id order by line rows between unbounded preceding and 1 preceding), 0) as before from a),
@@ -529,6 +523,31 @@ HEADS = f"""l as ({LINES}), a as (select *, {_S} as s, (len(raw) + 3) // 4 as to
  nodes as (select * from spans union all select * from preamble)"""
 
 
+_FENCED = f"regexp_matches(raw, '^[{fn.SPACE}]{{0,3}}(```|~~~)')"
+_TITLED = sql_strip("regexp_replace(s, '^#+', '')")
+_NORMAL = "lower(" + sql_squeeze(f"regexp_replace(regexp_replace({sql_strip("regexp_replace(title, '^#+', '')")}, '{WS}+#+{WS}*$', ''), '^{WS}*\\d+(?:\\.\\d+){{0,3}}\\.?{WS}+', '')") + ")"
+
+
+@query(
+    f"""with {HEADS}, t0 as (select n.*, h.line is null as pre, a.s from nodes n left join h on h.doc_id = n.doc_id and h.line = n.line_start join a on a.doc_id = n.doc_id and a.line = n.line_start),
+ t1 as (select *, case when pre then '(preamble)' else coalesce(nullif(substr({_TITLED}, 1, 120), ''), 'section') end as title, row_number() over (partition by doc_id order by line_start) - 1 as idx, lead(line_start) over (partition by doc_id order by line_start) as own from t0),
+ t2 as (select *, coalesce(nullif({_NORMAL}, ''), 'section') as base from t1),
+ t3 as (select *, row_number() over (partition by doc_id, base, pre order by line_start) as k from t2),
+ up as (select c.doc_id, c.idx, max(p.idx) as parent from t3 c join t3 p on p.doc_id = c.doc_id and p.idx < c.idx and p.level < c.level and not p.pre and not c.pre group by all),
+ g as (select *, sum(case when {_FENCED} then 1 else 0 end) over (partition by doc_id order by line) as marks, lead(s) over (partition by doc_id order by line) as below from a),
+ c as (select doc_id, line, regexp_matches(s, '^\\|.*\\|') and contains(below, '-') and contains(below, '|') and regexp_full_match(below, '[|:\\-{fn.SPACE}]+') as hit,
+   len(regexp_extract_all(raw, '!\\[[^\\]]*\\]\\([^)\\s]+')) as images, case when marks % 2 = 0 and not {_FENCED} then len(regexp_extract_all(raw, '(?:^|[^!\\\\])\\[[^\\]]*\\]\\([^)\\s]+')) else 0 end as links from g)
+ select t.doc_id, 'sec-' || lpad(cast(t.idx + 1 as varchar), 4, '0') as id, cast(coalesce(any_value(up.parent), -1) as integer) as parent, t.level::integer as level, t.title, case when t.pre then 'preamble' when t.k = 1 then t.base else t.base || '#' || t.k end as anchor,
+   t.line_start::integer as line_start, t.line_end::integer as line_end, t.self_tokens::bigint as self_tokens, t.subtree_tokens::bigint as subtree_tokens,
+   cast(count(*) filter (where c.hit and c.line < coalesce(t.own, e.n) - 1) as integer) as tables, cast(coalesce(sum(c.images), 0) as integer) as n_images, cast(coalesce(sum(c.links), 0) as integer) as n_links
+ from t3 t join e on e.doc_id = t.doc_id left join up on up.doc_id = t.doc_id and up.idx = t.idx left join c on c.doc_id = t.doc_id and c.line >= t.line_start and c.line < coalesce(t.own, e.n)
+ group by t.doc_id, t.idx, t.level, t.title, t.pre, t.k, t.base, t.line_start, t.line_end, t.self_tokens, t.subtree_tokens"""
+)
+def outline_nodes(spark: SparkSession, d: str) -> DataFrame:
+    nodes = outline.outline_nodes(bodies(spark, d), "doc_id", "body_md")
+    return nodes.select(F.col("key").alias("doc_id"), "id", "parent", "level", "title", "anchor", "line_start", "line_end", "self_tokens", "subtree_tokens", "tables", F.size("images").alias("n_images"), F.size("links").alias("n_links"))
+
+
 @query(f"with {HEADS} select doc_id, level::integer as level, line_start::integer as line_start, line_end::integer as line_end, self_tokens::bigint as self_tokens, subtree_tokens::bigint as subtree_tokens from nodes")
 def outline_spans(spark: SparkSession, d: str) -> DataFrame:
     return outline_nodes(spark, d).select("doc_id", "level", "line_start", "line_end", "self_tokens", "subtree_tokens")
