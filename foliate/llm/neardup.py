@@ -269,7 +269,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, k: int = 5, thres
 
 
 def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, threshold: float = 0.8, bands: int = BODY_BANDS) -> DataFrame:
-    """One row (id, class_id, links) per id: the connected group it belongs to, named by its least class key, and its number of similar classes.
+    """One row (id, class_id, links) per id: the connected group it belongs to, named by its least id, and its number of similar classes.
 
     Only classes are linked, so a group of exact copies is one node. Labels spread over the links, each round by one
     aggregation; every round is written to the shared folder, and the labels also hop over their own label, so the
@@ -293,8 +293,9 @@ def duplicate_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, thre
             break
     degree = links.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "set_key")
     out = members.join(labels.withColumnRenamed("v", "set_key"), "set_key", "left").join(degree, "set_key", "left")
-    out = out.select(id_col, F.coalesce("label", "set_key").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    out = out.select(id_col, F.coalesce("label", "set_key").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
     rest = df.where(F.col(id_col).isNotNull()).select(id_col, F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).alias("h"))
     rest = rest.groupBy(id_col).agg(F.max("h").alias("h")).join(members.select(id_col).distinct(), id_col, "left_anti")
-    rest = rest.select(id_col, F.coalesce("h", F.xxhash64(F.lit("null"), id_col)).alias("class_id"), F.lit(0).cast("bigint").alias("links"))
-    return out.unionByName(rest)
+    rest = rest.select(id_col, F.coalesce("h", F.xxhash64(F.lit("null"), id_col)).alias("label"), F.lit(0).cast("bigint").alias("links"))
+    rows = written(out.unionByName(rest), "neardup-groups")
+    return rows.join(rows.groupBy("label").agg(F.min(id_col).alias("class_id")), "label").select(id_col, "class_id", "links")

@@ -116,6 +116,15 @@ _BODIES = _similar("body_md", "select doc_id, any_value(body_md) as t from docum
 _PATHS = _similar("source_relpath", "select distinct doc_id, source_relpath as t from manifest where doc_id is not null and source_relpath is not null", 1, 0.5)
 
 SQL: dict[str, str] = {
+    "p2_groups": f"""with recursive {_BODIES[1]}, pairs as ({_BODIES[0]}),
+ sym as (select doc_a as x, doc_b as y from pairs union select doc_b, doc_a from pairs),
+ docs as (select doc_id, any_value(body_md) as body from document_md where doc_id is not null group by 1),
+ sets as (select doc_id, md5(string_agg(e, '|' order by e)) as own from s_3 group by 1),
+ short as (select doc_id, min(doc_id) over (partition by body) as least from docs where body is not null and doc_id not in (select doc_id from sets)),
+ reach as (select x, y from sym union select r.x, b.y from reach r join sym b on b.x = r.y),
+ least as (select x, min(y) as y from reach group by 1),
+ links as (select b.x, count(distinct s.own) as n from sym b join sets s on s.doc_id = b.y join sets t on t.doc_id = b.x where s.own <> t.own group by 1)
+ select d.doc_id, coalesce(least(d.doc_id, l.y), short.least, d.doc_id) as class_id, coalesce(k.n, 0) as links from docs d left join least l on l.x = d.doc_id left join short on short.doc_id = d.doc_id left join links k on k.x = d.doc_id""",
     "p2_found": f"with {_BODIES[1]}, {_PATHS[1]} {_BODIES[0]} union all {_PATHS[0]}",
     "p3_found": f"""with recursive {SECTIONS},
  b as (select doc_id, sha256(body_md) as sha, string_split(any_value(body_md), chr(10)) as lines from document_md group by doc_id, sha256(body_md)),

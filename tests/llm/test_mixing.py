@@ -82,3 +82,13 @@ def test_queries(spark, data):
     assert abs(sum(r.actual_share for r in shares.values()) - 1) < 1e-9
     caps = {r.source: r.max_repeats for r in spark.read.parquet(f"{data}/mix_targets.parquet").collect()}
     assert all(1 <= r.copies <= caps[r.source] for r in p8_mixture(spark, data).collect())
+
+
+def test_too_many_targets_are_refused_first(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
+    counts = spark.createDataFrame([(1, "a", 5)], "doc_key long, source string, n_tokens long")
+    targets = spark.createDataFrame([(x, 0.1, 1) for x in "abc"], "source string, target_share double, max_repeats int")
+    with pytest.raises(ValueError):
+        mixing.mixture(counts, targets)
