@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliate.functions import text as fn
 from foliate.functions.markdown import markdown_to_text
 from foliate.operators import assets, dataflow, figures, layout, outline, recall, recovery, validation
-from foliate.sources import fixtures, office
+from foliate.sources import fixtures, office, pdf
 from foliate.tables import table
 
 QUERIES: dict = {}
@@ -905,3 +905,15 @@ def office_documents(spark: SparkSession, d: str) -> DataFrame:
     n = lambda pattern: F.size(F.filter(lines, lambda x: x.rlike(pattern))).cast("bigint")
     shown = F.aggregate("pictures", F.lit(0).cast("bigint"), lambda a, p: a + p["n"])
     return made.select("doc_id", "error", F.col("properties")["title"].alias("title"), (F.col("g.covered") == F.col("g.n_source")).alias("lossless"), n(r"^#{1,6} +\S").alias("headings"), n(r"^- \S").alias("items"), shown.alias("pictures"), F.exists("pictures", lambda p: p["file"].isNotNull()).alias("stored"))
+
+
+@query(
+    f"""with p as (select rec_id, string_split(source_text, chr(12)) as pages from coverage_record where source_text is not null),
+ t as (select rec_id, len(pages) as n, array_to_string(list_transform(pages, lambda x: array_to_string(list_transform(string_split(x, chr(10)), lambda y: regexp_replace(y, '{WS}+$', '')), chr(10))), chr(12)) as layer from p)
+ select rec_id, cast(n as varchar) as pages, cast(rec_id as varchar) as title, md5(layer) as digest from t"""
+)
+def pdf_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Every source text as a PDF, plain or packed, and its text layer read back."""
+    rows = table(spark, d, "coverage_record", "rec_id", "source_text").where("source_text is not null")
+    made = rows.select("rec_id", pdf.read_layer(fixtures.pdf_of("source_text", F.col("rec_id").cast("string"))).alias("p"))
+    return made.select("rec_id", "p.pages", "p.title", F.md5("p.layer").alias("digest"))

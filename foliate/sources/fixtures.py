@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from itertools import groupby
 from xml.sax.saxutils import escape
 
@@ -76,3 +77,48 @@ def docx(lines: list[str], title: str = "") -> bytes:
 def docx_of(text: pd.Series, title: pd.Series) -> pd.Series:
     """A package of each text's lines."""
     return pd.Series([docx((t or "").split("\n"), n or "") for t, n in zip(text, title)])
+
+
+def pdf(pages: list[list[str]], title: str = "", packed: bool = False) -> bytes:
+    """A PDF of pages of lines, with a map to Unicode; packed: streams and objects are compressed."""
+    glyphs = {c: i for i, c in enumerate(sorted({c for page in pages for line in page for c in line}), 1)}
+    hexed = lambda line: "".join(f"{glyphs[c]:04x}" for c in line)
+    to = "\n".join(f"<{i:04x}> <{c.encode('utf-16-be', 'surrogatepass').hex()}>" for c, i in glyphs.items())
+    cmap = f"begincmap 1 begincodespacerange <0000> <ffff> endcodespacerange {len(glyphs)} beginbfchar\n{to}\nendbfchar endcmap"
+    flow = lambda page: "BT /F1 10 Tf 12 TL 50 780 Td\n" + "\n".join(f"<{hexed(line)}> Tj T*" for line in page) + "\nET"
+    first = 6
+    kids = " ".join(f"{first + 2 * i} 0 R" for i in range(len(pages)))
+    plain = {
+        1: "<< /Type /Catalog /Pages 2 0 R >>",
+        2: f"<< /Type /Pages /Kids [{kids}] /Count {len(pages)} /Resources << /Font << /F1 3 0 R >> >> >>",
+        3: "<< /Type /Font /Subtype /Type0 /BaseFont /X /ToUnicode 4 0 R >>",
+        5: f"<< /Title <feff{title.encode('utf-16-be').hex()}> >>",
+        **{first + 2 * i: f"<< /Type /Page /Parent 2 0 R /Contents {first + 2 * i + 1} 0 R >>" for i in range(len(pages))},
+    }
+    streams = {4: cmap, **{first + 2 * i + 1: flow(page) for i, page in enumerate(pages)}}
+    out = bytearray(b"%PDF-1.7\n")
+
+    def put(number: int, head: str, data: bytes) -> None:
+        if packed:
+            data, head = zlib.compress(data), head + " /Filter /FlateDecode"
+        out.extend(f"{number} 0 obj\n<< {head} /Length {len(data)} >>\nstream\n".encode() + data + b"\nendstream\nendobj\n")
+
+    for number, data in streams.items():
+        put(number, "", data.encode())
+    if packed:
+        bodies = [v + " " for v in plain.values()]
+        places = [sum(map(len, bodies[:i])) for i in range(len(bodies))]
+        index = " ".join(f"{n} {at}" for n, at in zip(plain, places)) + " "
+        put(9_000_000, f"/Type /ObjStm /N {len(plain)} /First {len(index)}", (index + "".join(bodies)).encode())
+        put(9_000_001, "/Type /XRef /Root 1 0 R /Info 5 0 R", b"")
+    else:
+        for number, value in plain.items():
+            out.extend(f"{number} 0 obj\n{value}\nendobj\n".encode())
+        out.extend(b"trailer\n<< /Root 1 0 R /Info 5 0 R >>\n%%EOF\n")
+    return bytes(out)
+
+
+@F.pandas_udf(T.BinaryType())
+def pdf_of(text: pd.Series, title: pd.Series) -> pd.Series:
+    """A PDF of each text: form feeds part its pages; every second file is packed."""
+    return pd.Series([pdf([p.split("\n") for p in (t or "").split("\f")], n or "", packed=len(t or "") % 2 == 0) for t, n in zip(text, title)])

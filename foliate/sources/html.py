@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliate.sources import pdf
 from foliate.sources.office import cell, escape, escape_lead, flat, pipe_table
 
 SILENT = {"script", "style", "template", "noscript", "head"}
@@ -121,8 +122,8 @@ def html_markdown(source: pd.Series) -> pd.Series:
     return source.map(page_markdown)
 
 
-#: Converters for layout documents by extension: bytes -> dict(markdown, source_text, status). None is built in for PDF.
-LAYOUT: dict[str, Callable[[bytes], dict]] = {}
+#: Converters for layout documents by extension: bytes -> dict(markdown, source_text, properties, error). That for PDF reads the text layer.
+LAYOUT: dict[str, Callable[[bytes], dict]] = {"pdf": pdf.convert}
 
 
 def register_layout_converter(ext: str, convert: Callable[[bytes], dict]) -> None:

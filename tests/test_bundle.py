@@ -40,7 +40,7 @@ def test_bundles_and_restart(spark, tree, tmp_path):
     rows = {r.source_relpath: r for r in bundle.run_tree(spark, str(tree), out, run="r1").collect()}
     status = {k: r.status for k, r in rows.items()}
     assert status == {"a b/Spec é.DOCX": "ok", "note.md": "ok", "data.json": "ok", "page.html": "ok", "bad.docx": "failed", "scan.pdf": "failed"}
-    assert rows["bad.docx"].error == "unreadable-zip" and rows["scan.pdf"].error == "converter-unavailable"
+    assert rows["bad.docx"].error == "unreadable-zip" and rows["scan.pdf"].error == "no-text-layer"
     folder = Path(out) / rows["a b/Spec é.DOCX"].doc_id
     report, structure = (json.loads((folder / n).read_text()) for n in ("report.json", "structure.json"))
     assert report["losslessness"]["gate"] == "pass" and report["markdown_sha256"] == structure["markdown_sha256"] == rows["a b/Spec é.DOCX"].markdown_sha256
@@ -281,3 +281,23 @@ def test_scan_and_audit(spark, tmp_path):
     assert got == {ids["two.docx"]: {"picture-bytes", "missing-picture", "orphan-picture"}, ids["note.md"]: {"report-hash", "structure-hash", "document-hash"}}
     (note / "structure.json").unlink()
     assert "incomplete" in bundle.audit(bundle.scan(spark, out)).where(F.col("doc_id") == ids["note.md"]).collect()[0].problems
+
+
+def test_pdf_text_layer(spark, tmp_path):
+    from foliate.sources import fixtures, pdf
+
+    pages = [["Header of all", "The first (page) \\ é 漢字", "", "two  blanks"], ["Header of all", "second page"], ["Header of all"]]
+    for packed in (False, True):
+        data = fixtures.pdf(pages, "Tïtle", packed)
+        assert pdf.text_pages(data) == ["\n".join(p) for p in pages] and pdf.info(data) == {"title": "Tïtle", "pages": "3"}
+        assert pdf.convert(data)["markdown"] == "The first (page) \\ é 漢字\n\ntwo  blanks\n\nsecond page\n"
+    plain = b"%PDF-1.4\n1 0 obj<</Type/Pages/Kids[2 0 R 1 0 R 9 0 R]>>endobj 2 0 obj<</Parent 1 0 R/Contents[3 0 R]/Resources<</Font<</F 4 0 R>>>>>>endobj 4 0 obj<</Subtype/Type1>>endobj 3 0 obj<</Length 5 0 R>>stream\nBT /F 10 Tf 1 0 0 1 50 700 Tm (A\\(b\\)\\101) Tj 30 0 Td (far) Tj 0 -14 Td [(k)-20(ern)-900(ed)] TJ T* <414243> Tj ET\nendstream endobj 5 0 obj 200 endobj"
+    assert pdf.text_pages(plain)[0].split("\n") == ["A(b)A far", "kern edABC"]
+    for bad in (None, b"", b"%PDF", b"junk", plain[:200], b"%PDF-1.4 trailer<</Encrypt 1 0 R>>" + plain):
+        assert not "".join(pdf.text_pages(bad)).strip()
+    root, out = tmp_path / "s", str(tmp_path / "o")
+    root.mkdir()
+    (root / "a.pdf").write_bytes(fixtures.pdf(pages, "T"))
+    (row,) = bundle.run_tree(spark, str(root), out).collect()
+    report = json.loads((Path(out) / row.doc_id / "report.json").read_text())
+    assert row.status in ("ok", "degraded") and report["losslessness"]["gate"] == "best-effort" and 'source_title: "T"' in (Path(out) / row.doc_id / "document.md").read_text()
