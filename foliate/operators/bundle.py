@@ -11,6 +11,7 @@ import hashlib
 import json
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -20,6 +21,7 @@ from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliate.functions import text as fn
 from foliate.functions.markdown import to_text
@@ -174,7 +176,7 @@ class Folder:
         scheme = re.match(r"([a-z0-9]+)://?", root)
         uri = re.sub(r"^s3a?n?:", "s3:", root) if scheme else Path(root).absolute().as_uri()
         self.fs, base = FileSystem.from_uri(uri.replace("file:/", "file:///") if re.match(r"file:/[^/]", uri) else uri)
-        self.path = f"{base.rstrip('/')}/{name}"
+        self.path = f"{base.rstrip('/')}/{name}".rstrip("/")
 
     def put(self, name: str, content: bytes) -> None:
         self.fs.create_dir(f"{self.path}/{name}".rpartition("/")[0], recursive=True)
@@ -329,3 +331,63 @@ def audit(bundles: DataFrame) -> DataFrame:
     ]
     found = F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in checks]))
     return bundles.select("doc_id", found.alias("problems")).where(F.size("problems") > 0)
+
+
+RECORD = T.StructType(
+    [
+        *[T.StructField(n, T.StringType()) for n in ("id", "rel", "ext")],
+        T.StructField("recall", T.DoubleType()),
+        *[T.StructField(n, T.LongType()) for n in ("n_source", "n_covered", "n_missing")],
+        T.StructField("missing_top", T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("cnt", T.LongType())]))),
+        *[T.StructField(n, T.LongType()) for n in ("structure_errors", "structure_warnings")],
+        *[T.StructField(n, T.StringType()) for n in ("docling_status", "backend")],
+        T.StructField("valid", T.BooleanType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
+
+def coverage_records(converted: DataFrame, most: int = 20) -> DataFrame:
+    """A record of the coverage log per converted document: what its source holds and its body lacks, and its structure. Measured where the document lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                body = r["markdown"] or ""
+                whole = r["lane"] == "fence"
+                source = to_text(r["source_text"] or "") if r["lane"] == "passthrough" else r["source_text"] or ""
+                have, got = Counter(re.findall("[a-z0-9]+", source.lower())), Counter(re.findall("[a-z0-9]+", (body if whole else to_text(body)).lower()))
+                lost = have - got
+                n, missing = have.total(), lost.total()
+                found = validation.issues(body)
+                errors = sum(i[2] == "error" for i in found)
+                top = [{"token": t, "cnt": k} for t, k in sorted(lost.items(), key=lambda x: (-x[1], x[0]))[:most]]
+                good = not r["error"] and errors == 0 and not (n >= 50 and missing > 0.2 * n)
+                rows.append({"id": r["doc_id"], "rel": r["rel"], "ext": r["ext"], "recall": (n - missing) / n if n else 1.0, "n_source": n, "n_covered": n - missing, "n_missing": missing, "missing_top": top, "structure_errors": errors, "structure_warnings": len(found) - errors, "docling_status": "PASSTHROUGH" if r["lane"] in ("passthrough", "fence") else "FAILURE" if r["error"] else "SUCCESS", "backend": CONVERTER, "valid": good, "error": r["error"] or ""})
+            yield pa.RecordBatch.from_pylist(rows, to_arrow_schema(RECORD))
+
+    return converted.select("doc_id", "rel", "ext", "lane", "markdown", "source_text", "error").mapInArrow(run, RECORD)
+
+
+def append_coverage(converted: DataFrame, log: str) -> DataFrame:
+    """Appends the records of a run to the log, a table of which the last record of a document counts; returns this run's records."""
+    run = uuid.uuid4().hex
+    coverage_records(converted).withColumn("ts", F.unix_timestamp()).withColumn("run", F.lit(run)).write.mode("append").parquet(log)
+    return converted.sparkSession.read.parquet(log).where(F.col("run") == run)
+
+
+def write_flat(converted: DataFrame, out: str) -> DataFrame:
+    """Writes one Markdown file per document without a failure, named by its id, without front matter; returns (doc_id, file, error)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                whole = bool(r["markdown"]) and r["error"] in ("", "empty-source-file")
+                if whole:
+                    Folder(out, "").put(f"{r['doc_id']}.md", r["markdown"].encode())
+                rows.append({"doc_id": r["doc_id"], "file": f"{r['doc_id']}.md" if whole else None, "error": r["error"]})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.string()) for n in ("doc_id", "file", "error")]))
+
+    return converted.select("doc_id", "markdown", "error").mapInArrow(run, "doc_id string, file string, error string")

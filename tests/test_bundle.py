@@ -301,3 +301,19 @@ def test_pdf_text_layer(spark, tmp_path):
     (row,) = bundle.run_tree(spark, str(root), out).collect()
     report = json.loads((Path(out) / row.doc_id / "report.json").read_text())
     assert row.status in ("ok", "degraded") and report["losslessness"]["gate"] == "best-effort" and 'source_title: "T"' in (Path(out) / row.doc_id / "document.md").read_text()
+
+
+def test_flat_files_and_coverage_log(spark, tree, tmp_path):
+    from foliate.operators.dataflow import last_wins
+
+    made = bundle.convert(files.scan_tree(spark, str(tree)).where("accepted"))
+    rows = {r.doc_id: r for r in bundle.write_flat(made, str(tmp_path / "flat")).collect()}
+    assert sorted(p.name for p in (tmp_path / "flat").iterdir()) == sorted(r.file for r in rows.values() if r.file) and sum(r.file is None for r in rows.values()) == 2
+    assert {r.doc_id for r in files.markdown_files(spark, str(tmp_path / "flat")).collect()} == {k for k, r in rows.items() if r.file}
+    log = str(tmp_path / "log")
+    assert bundle.append_coverage(made, log).count() == len(rows) == bundle.append_coverage(made, log).count()
+    last = {r.rel: r for r in last_wins(spark.read.parquet(log), "id", ["ts", "run"]).collect()}
+    assert len(last) == len(rows) and last["note.md"].recall == 1.0 and last["note.md"].valid and not last["bad.docx"].valid and last["bad.docx"].error == "unreadable-zip"
+    lossy = spark.createDataFrame([("i", "r", "docx", "ooxml", "one two\n", "one two three three " + "four " * 60, "")], "doc_id string, rel string, ext string, lane string, markdown string, source_text string, error string")
+    (r,) = bundle.coverage_records(lossy).collect()
+    assert (r.n_source, r.n_covered, r.n_missing, r.valid) == (64, 2, 62, False) and [tuple(x) for x in r.missing_top] == [("four", 60), ("three", 2)]
