@@ -41,11 +41,16 @@ def p4_commits(spark: SparkSession, d: str) -> DataFrame:
     return both.where("a = 1 and b = 2").select("run_no", F.col("doc_id").alias("item_key"), F.col("src").alias("version"), F.col("at").alias("committed_at"))
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def p4_offers(spark: SparkSession, d: str) -> DataFrame:
+    """What each run's listing offers."""
     plan = table(spark, d, "plan", "run_no", "doc_id", "source_sha256", "scanned_at")
-    offers = plan.select("run_no", F.col("doc_id").alias("item_key"), F.col("source_sha256").alias("version"), F.col("scanned_at").alias("seen_at"))
+    return plan.select("run_no", F.col("doc_id").alias("item_key"), F.col("source_sha256").alias("version"), F.col("scanned_at").alias("seen_at"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The items that the ledger leases in each run, its states driven over the logs of all runs."""
     store = ledger.LedgerStore(spark, f"{session_dir(spark)}/ledger-{uuid.uuid4().hex}")
-    pending = ledger.replay_runs(store, offers, p4_commits(spark, d))
+    pending = ledger.replay_runs(store, p4_offers(spark, d), p4_commits(spark, d))
     return pending.select(F.col("run_no").cast("bigint").alias("run_no"), F.col("item_key").alias("doc_id"))
 
 

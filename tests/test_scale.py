@@ -4,10 +4,10 @@
 from foliate.operators import dataflow, ledger, recall
 
 
-def test_hot_item_in_replay(spark):
+def test_hot_item_in_replay(spark, tmp_path):
     rows = spark.range(0, 9000).selectExpr("cast(id % 8 as int) + 1 as run_no", "if(id % 3 = 0, 'hot', concat('k', id % 500)) as item_key", "concat('v', id % 4) as version", "timestamp_micros(id) as seen_at")
     commits = rows.where("run_no % 2 = 1").selectExpr("run_no", "item_key", "version", "seen_at as committed_at")
-    got = ledger.replay(rows, commits)
+    got = ledger.replay_runs(ledger.LedgerStore(spark, f"file://{tmp_path}/log"), rows, commits)
     assert got.count() == got.select("run_no", "item_key").distinct().count() > 0
     state: dict = {}
     want = set()
@@ -46,6 +46,6 @@ def test_results_do_not_depend_on_partitions(spark):
 def test_filters_reach_the_scan(spark, data):
     from foliate.plans import core_queries
 
-    plan = core_queries.p4_found(spark, data)._jdf.queryExecution().toString()
+    plan = "".join(df._jdf.queryExecution().toString() for df in (core_queries.p4_offers(spark, data), core_queries.p4_commits(spark, data)))
     assert "ReadSchema: struct<run_no:int,doc_id:string,source_sha256:string,scanned_at:timestamp_ntz>" in plan
     assert "outline" not in plan.split("== Physical Plan ==")[-1]
