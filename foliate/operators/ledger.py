@@ -294,8 +294,9 @@ def replay_runs(store: LedgerStore, offers: DataFrame, commits: DataFrame) -> Da
     leases. What has no result expires when the next run begins, as after a failure or a crash.
 
     Both logs are reduced to one row per run and item first, which combines before the shuffle, and written by run, so a
-    run reads its own part and an item that holds most of the log costs a row a run. Each run is two snapshots and two
-    joins by key of the state, which has a row per item.
+    run reads its own part and an item that holds most of the log costs a row a run. A run's commits
+    and the next run's offers and leases are one change of the state and so one snapshot; its joins are by key of the
+    state, which has a row per item.
     """
     offered = offers.where("run_no is not null and item_key is not null").select("run_no", "item_key", F.coalesce(hash_key(F.col("version")), F.lit("")).alias("version"), "seen_at")
     offered = _latest(offered, ["run_no", "item_key"], "seen_at", "version").select("run_no", "item_key", "version", F.lit(True).alias("offered"))
@@ -304,12 +305,19 @@ def replay_runs(store: LedgerStore, offers: DataFrame, commits: DataFrame) -> Da
     log = written(offered.unionByName(finished), "ledger-log", "run_no")
     runs = [r.run_no for r in log.select("run_no").distinct().orderBy("run_no").collect()]  # one small row a run
     found = []
+    results = None
     for run in runs:
         mine, done = (log.where((F.col("run_no") == run) & (F.col("offered") == kind)) for kind in (True, False))
         me = f"run {run}"
-        state = _step(store, lambda s: claim(lease(offer(expire(s, run), mine, run), me, run, 1, run=run), done, me, run, 1))
+
+        def begin(s: DataFrame) -> DataFrame:
+            s = s if results is None else commit(s, results)[0]  # what the run before finished
+            return claim(lease(offer(expire(s, run), mine, run), me, run, 1, run=run), done, me, run, 1)
+
+        state = _step(store, begin)
         found.append(state.where((F.col("state") == LEASED) & (F.col("owner") == me)).select(F.lit(run).alias("run_no"), "item_key", "version"))
         results = done.select("item_key", "version").join(state.where(F.col("state") == LEASED).select("item_key", "fence"), "item_key")
+    if results is not None:
         _step(store, lambda s: commit(s, results)[0])
     if not found:
         return offered.where("false").select("run_no", "item_key", "version")
