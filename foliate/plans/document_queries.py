@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliate.functions import text as fn
 from foliate.functions.markdown import markdown_to_text
 from foliate.operators import assets, dataflow, figures, layout, outline, recall, recovery, validation
-from foliate.sources import fixtures, office, pdf
+from foliate.sources import fixtures, pdf
 from foliate.tables import table
 
 QUERIES: dict = {}
@@ -898,13 +898,7 @@ def log_tails(spark: SparkSession, d: str) -> DataFrame:
 )
 def office_documents(spark: SparkSession, d: str) -> DataFrame:
     """Every body as a word-processing package, converted back: headings, items, pictures and the title come through, and no token is lost."""
-    packages = bodies(spark, d).select("doc_id", fixtures.docx_of("body_md", "doc_id").alias("content"))
-    made = packages.select("doc_id", office.convert_office("content", F.lit("docx")).alias("c")).select("doc_id", "c.*")
-    made = made.withColumn("g", recall.explain_gap("source_text", markdown_to_text(F.col("markdown"))))
-    lines = F.split("markdown", "\n", -1)
-    n = lambda pattern: F.size(F.filter(lines, lambda x: x.rlike(pattern))).cast("bigint")
-    shown = F.aggregate("pictures", F.lit(0).cast("bigint"), lambda a, p: a + p["n"])
-    return made.select("doc_id", "error", F.col("properties")["title"].alias("title"), (F.col("g.covered") == F.col("g.n_source")).alias("lossless"), n(r"^#{1,6} +\S").alias("headings"), n(r"^- \S").alias("items"), shown.alias("pictures"), F.exists("pictures", lambda p: p["file"].isNotNull()).alias("stored"))
+    return fixtures.docx_trips(bodies(spark, d), "doc_id", "body_md")
 
 
 @query(

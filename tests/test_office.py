@@ -7,6 +7,7 @@ import pytest
 
 from foliate.functions.markdown import to_text
 from foliate.operators.recall import explain
+from foliate.plans import document_queries
 from foliate.sources import office
 
 W = 'xmlns:w="http://w" xmlns:r="http://r" xmlns:a="http://a"'
@@ -123,3 +124,36 @@ def test_rows(spark):
     assert [(r.doc_id, r.part) for r in media] == [("d", "word/media/i.png")]
     rels = {r.part: bytes(r.bytes).decode() for r in office.package_entries(files, r".*\.rels").collect()}
     assert office.placements(rels) == {"word/media/i.png": "body", "word/media/h.png": "chrome"}
+
+
+def test_packages_pass_in_one_step(spark, tmp_path):
+    """One Python step holds one package at a time, and converts each once."""
+    made = {
+        "plain": "# A b\n\ntext with _marks_ and |\n- one\n- two\n![](images/x.png)\n![](images/x.png)\n| a\\|b | c |\n| --- | --- |\n| d | |",
+        "none": None,
+        "blank": "\n\n",
+        "odd": "# \x0b\n#\xa0no\n# é\n>q\n1) z\n\x01 <&> ```\n- \xa0x",
+        None: "- x",
+    }
+    spark.createDataFrame(list(made.items()), "doc_id string, body_md string").write.parquet(f"{tmp_path}/document_md.parquet")
+    df = document_queries.office_documents(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    rows = {r.doc_id: tuple(r)[1:] for r in df.collect()}
+    assert rows == {
+        "plain": ("", "plain", True, 1, 2, 2, True),
+        "none": ("empty-conversion", "none", True, 0, 0, 0, False),
+        "blank": ("empty-conversion", "blank", True, 0, 0, 0, False),
+        "odd": ("", "odd", True, 1, 0, 0, False),
+        None: ("", None, True, 0, 1, 0, False),
+    }
+
+
+def test_trees_are_parsed_once_or_not_kept(monkeypatch):
+    parts, parsed = doc(p("x") + table([(p("a"), ""), (p("b"), "")])) | {"word/comments.xml": f"<w:comments {W}>{p('n')}</w:comments>"}, []
+    parse = office.parse
+    monkeypatch.setattr(office, "parse", lambda xml: parsed.append(xml) or parse(xml))
+    once = office.convert_package(zipped(parts), "docx")
+    assert len(set(filter(None, parsed))) == len(list(filter(None, parsed)))
+    monkeypatch.setattr(office, "KEPT_CHARS", 0)
+    assert office.convert_package(zipped(parts), "docx") == once and len(list(filter(None, parsed))) > 2 * len(parts)
